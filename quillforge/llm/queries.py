@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ogg, packing, quality, urlfilter
+from . import mixing, neardup, ogg, packing, quality, secrets, urlfilter
 from .base import table
 
 QUERIES, ORACLES = {}, {}
@@ -25,11 +25,21 @@ def op2_wildcard_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_filter(table(spark, sf_dir, "pages"))
 
 
+@query
+def op5_tensored_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("first", "_th", "_tl")
+
+
 @query
 def op6_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_power_of_two(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.from_ogg(ogg.to_ogg(table(spark, sf_dir, "documents")))
