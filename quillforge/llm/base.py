@@ -7,8 +7,6 @@ outlive its lineage goes to the folder of ``spark.checkpoint.dir``, which execut
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,5 +48,6 @@ def text_key(text: str = "text") -> list:
     return [F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("_th"), F.coalesce(F.length(F.col(text)), F.lit(-1)).alias("_tl")]
 
 
-def sql_list(values: Iterable[str]) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+def as_struct(docs: DataFrame):
+    """All columns of a row as one struct: an operator's own columns beside it can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WORD_JAVA, Scratch, text_key
+from .base import WORD_JAVA, Scratch, as_struct, text_key
 
 WEIGHTS, MAX_EPOCHS, BUCKET_ROWS = (5, 2, 1), 3, 20_000
 
@@ -93,7 +93,7 @@ def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as it is taken whole; the document at a source's
     boundary counts as whole from half of its words on."""
     mixed = mix_sources(docs, **options).where("size > 0").select(F.col("doc_id").alias("_id"), F.col("_th").alias("_mth"), F.col("_tl").alias("_mtl"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).dropDuplicates(["_id", "_mth", "_mtl"])
-    keyed = docs.select("*", *text_key())
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_mth")) & (F.col("_tl") == F.col("_mtl"))
+    keyed = docs.select(as_struct(docs).alias("doc"), F.col("doc_id").cast("long").alias("_row_id"), *text_key())
+    on = F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_mth")) & (F.col("_tl") == F.col("_mtl"))
     hit = keyed.join(mixed.where("_times > 0"), on)
-    return hit.select(*[F.col(c) for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+    return hit.select("doc", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("doc.*")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, text_key
+from .base import Scratch, as_struct, text_key
 
 K, M = 3, 10
 _U = np.uint64
@@ -228,5 +228,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs``, same columns, with one row of each component; rows equal in id and text become one."""
     kept = near_duplicates(docs, width, percent).where("first").select(F.coalesce("doc_id", F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_no"), "_th", "_tl").distinct()
-    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_no"), *text_key())
-    return keyed.join(kept, ["_i", "_no", "_th", "_tl"]).dropDuplicates(["_i", "_no", "_th", "_tl"]).select(*docs.columns)
+    keyed = docs.select(as_struct(docs).alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_no"), *text_key())
+    return keyed.join(kept, ["_i", "_no", "_th", "_tl"]).dropDuplicates(["_i", "_no", "_th", "_tl"]).select("doc.*")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neardup, ogg, packing, quality, secrets, urlfilter
+import corpus_pipeline
+
+from . import htmltext, mixing, neardup, ogg, packing, quality, secrets, urlfilter
 from .base import table
 
 QUERIES, ORACLES = {}, {}
@@ -25,6 +27,11 @@ def op2_wildcard_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_filter(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_tensored_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("first", "_th", "_tl")
@@ -48,3 +55,8 @@ def op9_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_exponential_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("_th", "_tl")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

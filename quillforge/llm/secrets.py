@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .base import as_struct
+
 #: kind, pattern, what a match must have (in terms of the match m). Matches are leftmost and do not overlap within a kind.
 #: Runs are taken whole, so a least length in the pattern is the same as dropping short runs, but for the first kind.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -115,12 +117,13 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, **options) -> DataFrame:
     """``docs``, same columns, with every span in the text replaced by ``[SECRET]``; overlapping spans become one."""
-    s = scan_secrets(docs, **options).withColumn("_all", F.array_sort(F.concat("_base", "_markov")))
+    s = scan_secrets(docs.select(as_struct(docs).alias("doc"), "text"), **options).withColumn("_all", F.array_sort(F.concat("_base", "_markov")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
         gap = F.substr(F.col("text"), acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        return F.when(x["e"] <= acc["at"], acc).otherwise(F.struct(x["e"].alias("at"), F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit("[SECRET]"))).alias("out")))
+        out = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit("[SECRET]")))
+        return F.when(x["e"] <= acc["at"], acc).otherwise(F.struct(x["e"].alias("at"), out.alias("out")))
 
     text = F.when(F.size("_all") == 0, F.col("text")).otherwise(F.aggregate("_all", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1))))
-    return s.withColumn("_new", text).select(*[F.col("_new").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return s.select(F.col("doc").withField("text", text).alias("doc")).select("doc.*")
