@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import htmltext, mixing, neardup, ogg, packing, quality, secrets, urlfilter
+from . import htmltext, mixing, neardup, ogg, packing, quality, secrets, urlfilter, weaklabel
 from .base import table
 
 QUERIES, ORACLES = {}, {}
@@ -27,6 +27,11 @@ def op2_wildcard_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_filter(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabel.classify_quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_text(table(spark, sf_dir, "pages"))
