@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import htmltext, mixing, neardup, ogg, packing, quality, secrets, urlfilter, weaklabel
+from . import htmltext, mixing, neardup, ogg, packing, passages, quality, secrets, urlfilter, weaklabel
 from .base import table
 
 QUERIES, ORACLES = {}, {}
@@ -47,6 +47,11 @@ def op6_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_power_of_two(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
