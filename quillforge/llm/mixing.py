@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .base import WORD_JAVA, Scratch, as_struct, text_key
 
 WEIGHTS, MAX_EPOCHS, BUCKET_ROWS = (5, 2, 1), 3, 20_000
+#: Rows of a table of sources, of about 100 bytes each, up to which it is broadcast.
+BROADCAST_ROWS = 50_000
 
 
 def n_words(text: Column) -> Column:
@@ -56,18 +58,25 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCH
     return s.select("source", "source_size", "n_docs", F.coalesce(F.least(cap.cast("double"), F.col("_w") * F.col("_x")), F.lit(0.0)).alias("target"))
 
 
-def plan_mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def small(df: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``df``, a row or so a source, written and counted: marked for broadcast where it has few rows, else left to a shuffled join."""
+    saved = scratch.save(df, name)
+    return F.broadcast(saved) if saved.count() <= BROADCAST_ROWS else saved
+
+
+def plan_mix(rows: DataFrame, scratch: Scratch, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row a source: its target, complete epochs, and where the sample of the rest ends (key, tie, words of a row there)."""
     s = source_targets(rows, weights, max_epochs).withColumn("_full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     s = s.withColumn("_rest", F.round(F.col("target")).cast("long") - F.col("_full") * F.col("source_size"))
     s = s.withColumns({"_full": F.when(F.col("_rest") < 0, F.col("_full") - 1).otherwise(F.col("_full")), "_rest": F.when(F.col("_rest") < 0, F.col("_rest") + F.col("source_size")).otherwise(F.col("_rest"))})
     s = s.withColumn("_buckets", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / BUCKET_ROWS)).cast("long"))
+    s = small(s, scratch, "targets")
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
     bucket = F.floor((1 - F.exp(-F.col("key"))) * F.col("_buckets"))
     dealt = rows.alias("r").join(s.alias("s"), same("r", "s")).where(F.col("size") > 0).select("r.*", "_rest", bucket.alias("_b"))
     sums = dealt.groupBy("source", "_b", "_rest").agg(F.sum("size").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("source").orderBy("_b")) - F.col("_n")
-    ends = sums.withColumn("_before", before).where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n"))).select("source", "_b", "_before")
+    ends = small(sums.withColumn("_before", before).where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n"))).select("source", "_b", "_before"), scratch, "ends")
     last = dealt.alias("d").join(ends.alias("e"), same("d", "e") & (F.col("d._b") == F.col("e._b"))).select("d.source", "key", "doc_id", "_th", "_tl", "size", "_rest", "_before")
     ties = last.groupBy("source", "key", "doc_id", "_th", "_tl", "_rest", "_before").agg(F.sum("size").alias("_n"), F.count("*").alias("_c"))
     so_far = F.sum("_n").over(Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), "_th", "_tl")) - F.col("_n") + F.col("_before")
@@ -85,8 +94,9 @@ def taken_words(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 7) -> DataFrame:
     """doc_id, source, size, source_size, target and taken for each row of ``docs`` (doc_id, text, source)."""
-    rows = Scratch(docs.sparkSession).save(sampling_rows(docs, seed), "sizes")
-    return taken_words(rows, plan_mix(rows, weights, max_epochs)).select("doc_id", "source", "size", "source_size", "target", "taken", "_th", "_tl")
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.save(sampling_rows(docs, seed), "sizes")
+    return taken_words(rows, small(plan_mix(rows, scratch, weights, max_epochs), scratch, "plan")).select("doc_id", "source", "size", "source_size", "target", "taken", "_th", "_tl")
 
 
 def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
