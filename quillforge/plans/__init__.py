@@ -1 +1,3 @@
 """Registered queries and their SQL."""
+
+from . import contamination  # noqa: F401
