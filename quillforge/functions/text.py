@@ -15,6 +15,11 @@ def tokens(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)), F.lower)
 
 
+def bound(value: Column, f) -> Column:
+    """``f(value)`` with the value made once a row, also where the optimizer moves its expression into f's own lambdas."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def ngram_count(toks: Column, n: int = NGRAM) -> Column:
     return F.greatest(F.size(toks) - (n - 1), F.lit(0))
 
@@ -22,8 +27,12 @@ def ngram_count(toks: Column, n: int = NGRAM) -> Column:
 def ngrams(toks: Column, n: int = NGRAM, key=None) -> Column:
     """``key`` of each run of n tokens, the run joined by spaces unless another is asked for."""
     key = key or (lambda run: F.array_join(run, " "))
-    last = F.size(toks) - (n - 1)
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: key(F.slice(toks, i, n)))).otherwise(F.expr("array()"))
+
+    def runs(t):
+        last = F.size(t) - (n - 1)
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: key(F.slice(t, i, n)))).otherwise(F.expr("array()"))
+
+    return bound(toks, runs)
 
 
 def run_hash(run: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,15 +111,16 @@ def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n:
     runs = F.when(F.size("toks") >= n, T.ngrams(F.col("toks"), n, F.xxhash64)).when(F.size("toks") > 0, F.array(F.xxhash64("toks"))).otherwise(F.expr("cast(array() as array<bigint>)"))
     ab = parameters(n_perm)
 
-    @F.pandas_udf("array<bigint>")
-    def sign(hashes: pd.Series) -> pd.Series:
-        out = []
-        for row in hashes:
-            h = np.unique(np.asarray(row, np.int64)).view(np.uint64) & np.uint64(PRIME)
-            out.append(np.array([0 if not len(h) else int(((_mulmod(h, a) + np.uint64(b)) % np.uint64(PRIME)).min()) for a, b in ab], np.int64))
-        return pd.Series(out)
+    def sign(batches):
+        for batch in batches:
+            out = []
+            for row in batch.column(len(keys)):
+                h = np.unique(np.asarray(row.values, np.int64)).view(np.uint64) & np.uint64(PRIME)
+                out.append(np.array([0 if not len(h) else int(((_mulmod(h, a) + np.uint64(b)) % np.uint64(PRIME)).min()) for a, b in ab], np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(out, pa.list_(pa.int64()))], names=[*keys, "sig"])
 
-    return texts.select(*keys, toks.alias("toks")).select(*keys, sign(runs).alias("sig"))
+    rows = texts.select(*keys, toks.alias("toks")).select(*keys, runs.alias("runs"))
+    return rows.mapInArrow(sign, rows.select(*keys, F.expr("cast(array() as array<bigint>)").alias("sig")).schema)
 
 
 def similarity(a: Column, b: Column) -> Column:
