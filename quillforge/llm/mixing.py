@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .base import WORD_JAVA, Scratch, as_struct, text_key
 
-WEIGHTS, MAX_EPOCHS, BUCKET_ROWS = (5, 2, 1), 3, 20_000
+WEIGHTS, MAX_EPOCHS, BUCKET_ROWS = (5, 2, 1), 3, 4_000
 #: Rows of a table of sources, of about 100 bytes each, up to which it is broadcast.
 BROADCAST_ROWS = 50_000
 
