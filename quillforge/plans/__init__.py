@@ -1,3 +1,3 @@
 """Registered queries and their SQL."""
 
-from . import contamination, dedup, privacy  # noqa: F401
+from . import contamination, dedup, privacy, training  # noqa: F401
