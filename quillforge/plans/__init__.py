@@ -1,3 +1,3 @@
 """Registered queries and their SQL."""
 
-from . import contamination, dedup, evaluation, privacy, training  # noqa: F401
+from . import contamination, dedup, evaluation, privacy, release, training  # noqa: F401
