@@ -37,7 +37,7 @@ RULES: tuple[Rule, ...] = (
     Rule("json_web_token", "JWT", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, True),
     Rule("key_assignment", "API_KEY", rf"(?i)(?:api|access|auth|client)[_-]?(?:key|token){_VALUE}([A-Za-z0-9+/_.=-]{{16,}})", 1, True),
     Rule("secret_assignment", "SECRET", rf"(?i)secret(?:[_-]?key)?{_VALUE}([A-Za-z0-9+/_.=-]{{16,}})", 1, True),
-    Rule("password_assignment", "PASSWORD", rf"(?i)(?:password|passwd|pwd){_VALUE}([^\s\"',;]{{6,}})", 1, True),
+    Rule("password_assignment", "PASSWORD", rf"(?i)(?:password|passwd|pwd){_VALUE}([^\s\"',;\[][^\s\"',;]{{5,}})", 1, True),
     Rule("bearer", "CREDENTIAL", r"(?i)bearer[ ]+([A-Za-z0-9._~+/=-]{20,})", 1, True),
     Rule("generic_token", "SECRET", rf"(?i)token{_VALUE}([A-Za-z0-9+/_.=-]{{20,}})", 1, True),
     Rule("email", "EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
