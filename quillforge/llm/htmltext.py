@@ -128,7 +128,7 @@ def repeated(streams: list[np.ndarray], min_run: int = MIN_RUN) -> list[np.ndarr
     while length < min_run:
         step = min(length, min_run - length)
         ahead = np.zeros(total, np.int64)
-        ahead[: total - step] = rank[step:] + 1
+        ahead[: max(0, total - step)] = rank[step:] + 1
         rank = np.unique(rank * (total + 1) + ahead, return_inverse=True)[1]
         length += step
     order = np.argsort(rank, kind="stable")  # the suffix array; ties by place, so pages rise within a rank
@@ -144,6 +144,16 @@ def repeated(streams: list[np.ndarray], min_run: int = MIN_RUN) -> list[np.ndarr
     return [covered[end - n - 1 : end - 1] for end, n in zip(cuts.tolist(), sizes)]
 
 
+def long_runs(covered: np.ndarray, min_run: int) -> np.ndarray:
+    """Of a block's covered tokens those that go: all, if the whole block is covered; else runs of ``min_run`` or more within it. What is
+    covered at its edges only because a menu beside it repeats stays."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    out = np.zeros(len(covered), bool)
+    for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        out[lo:hi] = hi - lo >= min(min_run, len(covered))
+    return out
+
+
 def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN) -> list[tuple[str, int]]:
     """For each page of a host, given as the zones and texts of its blocks: its main text, and how many tokens repeat on other pages."""
     number: dict[str, int] = {}
@@ -162,7 +172,7 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
             kept, at = [], 0
             for zone, words in zip(zones, tokens[i]):
                 if zone == "body":
-                    left = [w for w, c in zip(words, cover[at : at + len(words)].tolist()) if not c]
+                    left = [w for w, c in zip(words, long_runs(cover[at : at + len(words)], min_run).tolist()) if not c]
                     if left:
                         kept.append(" ".join(left))
                 at += len(words)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import slices
+
 BLOCK, RATE, PACKET = 64, 8000, 4000
 SAMPLES, LENGTH = 1, 2  # serial numbers
 _HEAD = struct.Struct("<4sBBqIIIB")
@@ -62,7 +64,7 @@ class _Writer:
 def encode(payload: bytes, n_bytes: int, packet: int = PACKET, rate: int = RATE) -> bytes:
     """The payload as a stream of 8-bit samples beside a stream of one packet that names ``n_bytes``."""
     samples, length = _Writer(SAMPLES), _Writer(LENGTH)
-    out = [*samples.pages([struct.pack("<8sIBB", b"PCM8    ", rate, 1, 8)], [0], True, False), *length.pages([b"LENGTH  "], [0], True, False)]
+    out = [*samples.pages([struct.pack("<8sIBB", b"PCM8    ", rate, 1, 8)], [0], True, not payload), *length.pages([b"LENGTH  "], [0], True, False)]
     out += length.pages([struct.pack("<Q", n_bytes)], [0], False, True)
     per_page = max(1, 255 // (packet // 255 + 1))
     cuts = range(0, len(payload), packet)
@@ -149,13 +151,12 @@ def to_ogg(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(key, media): the text's UTF-8 bytes, with zeros up to a positive multiple of 64, as an Ogg stream."""
 
     def store(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part, out = b.slice(lo, 256), []
-                for v in part.column(1).cast(pa.large_binary()).to_pylist():
-                    raw = v or b""
-                    out.append(encode(raw + b"\0" * (-len(raw) % BLOCK or (0 if raw else BLOCK)), len(raw)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], names=[key, "media"])
+        for b in slices(batches):
+            out = []
+            for v in b.column(1).cast(pa.large_binary()).to_pylist():
+                raw = v or b""
+                out.append(encode(raw + b"\0" * (-len(raw) % BLOCK or (0 if raw else BLOCK)), len(raw)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=[key, "media"])
 
     return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias("text")).mapInArrow(store, f"{key} long, media binary")
 
