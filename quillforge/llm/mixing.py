@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling, in DataFrame operations only.
 
-Each document gets the key -ln(u) / w: u a uniform number from a hash of its id and text, w its quality
+Each document gets the key -ln(u) / w: u a uniform number of 52 bits from a digest of its id and text, w its quality
 weight. A source's target takes as many complete epochs as fit; the rest is a weighted sample without
 replacement, the documents of least keys up to the remaining words, of which the last is taken in part. Keys are
 bucketed, so that a hot source is never sorted in one task: sums of the buckets tell in which one the rest ends,
@@ -38,8 +38,9 @@ def quality_weight(size: Column, n_chars: Column) -> Column:
 
 def sampling_rows(docs: DataFrame, seed: int) -> DataFrame:
     """doc_id, source, size, the document's key and what breaks ties: its id and text hash."""
-    uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("_th")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.coalesce(F.length("text"), F.lit(0)).alias("_n"), *text_key())
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_md5")))
+    uniform = (F.conv(F.substring(mark, 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
+    rows = docs.select(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_md5"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.coalesce(F.length("text"), F.lit(0)).alias("_n"), *text_key())
     return rows.select("doc_id", "source", "size", "_th", "_tl", (-F.log(uniform) / quality_weight(F.col("size"), F.col("_n"))).alias("key"))
 
 
