@@ -28,11 +28,11 @@ def assay_totals(spark, d):
 
 @query("assay_mcnemar", _CASES + """, a AS (SELECT task, count(*) FILTER (tr = 'WIN') AS b, count(*) FILTER (tr = 'LOSS') AS c FROM t GROUP BY task), k AS (SELECT task, b, c, unnest(range(0, least(b, c) + 1)) AS i FROM a),
 lg AS (SELECT task, b, c, sum(exp(lgamma(b + c + 1) - lgamma(i + 1) - lgamma(b + c - i + 1) - (b + c) * ln(2))) AS tail FROM k GROUP BY ALL)
-SELECT task, b AS wins, c AS losses, round(CASE WHEN b = c THEN 1.0 ELSE least(1.0, 2 * tail) END, 9)::DOUBLE AS p_value FROM lg""")
+SELECT task, b AS wins, c AS losses, round(CASE WHEN b = c THEN 1.0 ELSE least(1.0, 2 * tail) END, 6)::DOUBLE AS p_value FROM lg""")
 def assay_mcnemar(spark, d):
     t = A.transition(F.col("base_passed"), F.col("tuned_passed"))
     n = label_cases(spark, d).groupBy("task").agg(F.count_if(t == "WIN").alias("wins"), F.count_if(t == "LOSS").alias("losses"))
-    return n.withColumn("p_value", F.round(A.mcnemar_column(F.col("wins"), F.col("losses")), 9))
+    return n.withColumn("p_value", F.round(A.mcnemar_column(F.col("wins"), F.col("losses")), 6))
 
 
 @query("assay_task_breakdown", _CASES + """ SELECT task, count(*) AS n_cases, round(100.0::DOUBLE * count(*) FILTER (base_passed) / count(*), 2) AS base_rate, round(100.0::DOUBLE * count(*) FILTER (tuned_passed) / count(*), 2) AS tuned_rate, count(*) FILTER (tr = 'WIN') AS wins, count(*) FILTER (tr = 'LOSS') AS losses,
