@@ -6,13 +6,16 @@ outlive its lineage goes to the folder of ``spark.checkpoint.dir``, which execut
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but these (space, \t, \n, \v, \f, \r); ``bytes.split()`` cuts at the same.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,8 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
+        gc.collect()  # shuffle files of finished queries go when the driver collects its garbage, in Python and in the JVM
+        jvm.System.gc()
 
 
 def text_key(text: str = "text") -> list:
@@ -48,6 +53,14 @@ def text_key(text: str = "text") -> list:
     return [F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("_th"), F.coalesce(F.length(F.col(text)), F.lit(-1)).alias("_tl")]
 
 
+def slices(batches: Iterable, rows: int = 256) -> Iterator:
+    """Arrow batches in pieces of a few rows, so that Python objects of one piece are there at a time; at the end, unused memory goes back."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def as_struct(docs: DataFrame):
     """All columns of a row as one struct: an operator's own columns beside it can't clash with them."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])

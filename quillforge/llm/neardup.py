@@ -26,11 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, as_struct, text_key
+from .base import Scratch, as_struct, slices, text_key
 
 K, M = 3, 10
-#: Classes a block holds, those that are held against them, and matrix columns at a time.
-BLOCK, QUERIES, COLUMNS = 1024, 256, 4096
+#: Classes a block holds at about most, those that are held against them, shingles of a block, and matrix columns at a time.
+BLOCK, QUERIES, BLOCK_SHINGLES, COLUMNS = 1024, 256, 500_000, 4096
 _U = np.uint64
 
 
@@ -38,7 +38,7 @@ class _Hashes(dict):
     """64-bit hashes of words, kept as long as they are few."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -93,7 +93,7 @@ def sign(docs: DataFrame, width: int, seed: int = 11) -> DataFrame:
     family = _family(2 * M * K, seed)
 
     def rows(batches):
-        for b in batches:
+        for b in slices(batches):
             cls, n, halves, known = [], [], [], {}
             for v in b.column(3).cast(pa.large_binary()):
                 s = shingles(v.as_py(), width)
@@ -133,7 +133,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
     def check(batches):
         last = (None, None)
-        for b in batches:
+        for b in slices(batches):
             keep = []
             for i in range(b.num_rows):
                 y = b.column(1)[i].as_py()
@@ -186,13 +186,15 @@ def block_links(group: pa.Table, width: int, percent: int) -> pa.Table:
     return pa.table([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], names=["x", "y"])
 
 
-def leftover_links(inside: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def leftover_links(inside: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(x, y): confirmed links between components, of classes that share a bucket of several; found in blocks."""
     placed = inside.select("key", "half", "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    rest = placed.join(mixed, "key").select("half", "cls", "root").distinct()
-    by = rest.groupBy("half", "root").count().groupBy("half").agg(F.sum("count").alias("n"), F.max_by("root", F.struct("count", "root")).alias("main"), F.max("count").alias("n_main"))
-    dealt = rest.join(by, "half").withColumns({"blocks": F.ceil(F.col("n") / BLOCK), "asking": F.ceil((F.col("n") - F.col("n_main")) / QUERIES)})
+    rest = placed.join(mixed, "key").select("half", "cls", "root").distinct().join(classes.select("cls", "n_shingles"), "cls")
+    each = rest.groupBy("half", "root").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s"))
+    by = each.groupBy("half").agg(F.sum("c").alias("n"), F.sum("s").alias("s"), F.max_by(F.struct("root", "c", "s"), F.struct("c", "root")).alias("main"))
+    parts = lambda n, most, s: F.ceil(F.greatest(n / most, s / BLOCK_SHINGLES))
+    dealt = rest.join(by.select("half", F.col("main.root").alias("main"), parts(F.col("n"), BLOCK, F.col("s")).alias("blocks"), parts(F.col("n") - F.col("main.c"), QUERIES, F.col("s") - F.col("main.s")).alias("asking")), "half")
     own = lambda c: F.pmod(F.xxhash64("cls"), F.col(c))
     every = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     members = F.transform(every("asking"), lambda k: F.struct(k.alias("q"), own("blocks").alias("m"), F.lit(False).alias("query")))
@@ -225,7 +227,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 def _link(docs: DataFrame, signed: DataFrame, scratch: Scratch, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes (cls, rep: the first row's id and text key) and (cls, root) of the linked ones."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th", "_tl")
-    classes = scratch.save(signed.where("cls is not null").groupBy("cls").agg(F.min(first).alias("rep"), F.first("halves").alias("halves")), "classes")
+    classes = scratch.save(signed.where("cls is not null").groupBy("cls").agg(F.min(first).alias("rep"), F.first("halves").alias("halves"), F.first("n_shingles").alias("n_shingles")), "classes")
     inside = scratch.save(buckets(classes, scratch), "buckets")
     best = scratch.save(inside.where("cls <> hub").groupBy("cls", "hub").count().groupBy("cls").agg(F.max_by("hub", F.struct("count", "hub")).alias("y")).withColumnRenamed("cls", "x"), "spokes")
     if not best.take(1):
@@ -235,7 +237,7 @@ def _link(docs: DataFrame, signed: DataFrame, scratch: Scratch, width: int, perc
     texts = scratch.save(there.join(wanted, ["_i", "_no", "_th", "_tl"]).groupBy("cls").agg(F.min("text").alias("text")), "texts")
     links = scratch.save(confirm(best, texts, width, percent), "links")
     roots = components(links, scratch, "roots")
-    more = scratch.save(leftover_links(inside, roots, texts, width, percent), "more")
+    more = scratch.save(leftover_links(inside, roots, classes, texts, width, percent), "more")
     if more.take(1):
         roots = components(links.unionAll(more), scratch, "all-roots")
     scratch.drop("keyed", "buckets", "spokes", "texts", "links", "more")

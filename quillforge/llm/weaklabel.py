@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import slices
+
 #: The scorer's fit: hashed features, sampled documents (those of least hash; the rest are only scored), passes, step, decay.
 DIMS, MAX_SAMPLE, ROUNDS, RATE, L2 = 1 << 11, 6000, 200, 2.0, 1e-4
 KEEP_FROM = 0.5
@@ -86,7 +88,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
 
 class _Slots(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word) % (DIMS // 2)
         return h
@@ -141,7 +143,7 @@ def weak_label_model(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> tuple[dic
     posterior = {tuple(p): float(g) for p, g in zip(patterns.tolist(), good)}
 
     def features(batches):
-        for b in batches:
+        for b in slices(batches):
             raw = [v.as_py() for v in b.column(0).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays([pa.array([hashed(r).astype("<f2").tobytes() for r in raw], pa.binary()), pa.array([posterior.get(votes(r), 0.5) for r in raw], pa.float64())], names=["x", "good"])
 
@@ -160,7 +162,7 @@ def classify_quality(docs: DataFrame, max_sample: int = MAX_SAMPLE, keep_from: f
     posterior, w, bias = weak_label_model(docs, max_sample)
 
     def score(batches):
-        for b in batches:
+        for b in slices(batches):
             cols: list[list] = [[], [], [], []]
             for v in b.column(1).cast(pa.large_binary()):
                 raw = v.as_py()
