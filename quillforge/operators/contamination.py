@@ -91,14 +91,14 @@ def signature_native(grams: DataFrame, keys: list[str], gram: str = "gram", n: i
     return h.groupBy(*keys).agg(*least)
 
 
-def _mulmod(h: np.ndarray, a: int) -> np.ndarray:
-    """h * a mod 2^61 - 1 for h < 2^61, in 64-bit words: a is split so that no product leaves 64 bits, and high parts wrap round."""
+def _mulmod(h: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """h * a mod 2^61 - 1 for h, a < 2^61, in 64-bit words, broadcast: a is split so that no product leaves 64 bits, and high parts wrap round."""
     m, u = np.uint64(PRIME), np.uint64
     fold = lambda x: (x & m) + (x >> u(61))
     turn = lambda x, k: ((x & u((1 << 61 - k) - 1)) << u(k)) | (x >> u(61 - k))  # times 2^k within 61 bits
-    low, high, out = h & u(0x7FFFFFFF), h >> u(31), np.zeros_like(h)
+    low, high, out = h & u(0x7FFFFFFF), h >> u(31), u(0)
     for shift in (42, 21, 0):  # three parts of a, of 21 bits at most
-        part = u(a >> shift & 0x1FFFFF)
+        part = (a >> u(shift)) & u(0x1FFFFF)
         product = fold(low * part + turn(high * part, 31))  # below 2^52 and 2^61
         out = fold(out + turn(np.where(product >= m, product - m, product), shift))
     return np.where(out >= m, out - m, out)
@@ -109,14 +109,21 @@ def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n:
     whole token run as the only n-gram. Token runs are hashed in the JVM; only hashes reach Python, in Arrow batches."""
     toks = T.tokens(F.col("text"))
     runs = F.when(F.size("toks") >= n, T.ngrams(F.col("toks"), n, F.xxhash64)).when(F.size("toks") > 0, F.array(F.xxhash64("toks"))).otherwise(F.expr("cast(array() as array<bigint>)"))
-    ab = parameters(n_perm)
+    a, b = (np.array(c, np.uint64)[None, :] for c in zip(*parameters(n_perm)))
+
+    def minima(h: np.ndarray) -> np.ndarray:
+        least = np.full(n_perm, PRIME, np.uint64)
+        for lo in range(0, len(h), 512):  # blocks that stay in the cache
+            sums = _mulmod(h[lo : lo + 512, None], a) + b
+            least = np.minimum(least, np.where(sums >= np.uint64(PRIME), sums - np.uint64(PRIME), sums).min(axis=0))
+        return least.astype(np.int64) if len(h) else np.zeros(n_perm, np.int64)
 
     def sign(batches):
         for batch in batches:
             out = []
             for row in batch.column(len(keys)):
                 h = np.unique(np.asarray(row.values, np.int64)).view(np.uint64) & np.uint64(PRIME)
-                out.append(np.array([0 if not len(h) else int(((_mulmod(h, a) + np.uint64(b)) % np.uint64(PRIME)).min()) for a, b in ab], np.int64))
+                out.append(minima(h))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(out, pa.list_(pa.int64()))], names=[*keys, "sig"])
 
     rows = texts.select(*keys, toks.alias("toks")).select(*keys, runs.alias("runs"))
@@ -135,7 +142,7 @@ def most_similar(texts: DataFrame, benchmark: DataFrame, keys: list[str], n_perm
     A join of (place, value) pairs counts agreements, so texts that agree nowhere with an item never meet it."""
     places = lambda df, *cols: df.select(*cols, F.posexplode("sig").alias("k", "v"))
     items = places(signatures(benchmark, ["item_id"], n_perm), "item_id")
-    signed = signatures(texts, keys, n_perm).where(F.exists("sig", lambda v: v != 0))
+    signed = signatures(texts, keys, n_perm).where(F.exists("sig", lambda v: v != 0))  # read once: only its places are joined
     same = places(signed, *keys).join(sized(items.where("v <> 0")), ["k", "v"]).groupBy(*keys, "item_id").count()
     best = same.groupBy(*keys).agg(F.max_by(F.struct("item_id", "count"), F.struct("count", -F.col("item_id"))).alias("b"))
     out = texts.select(*keys).join(best, keys, "left")

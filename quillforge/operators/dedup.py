@@ -35,9 +35,9 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
 
 def ngram_set_key(toks: Column) -> Column:
-    """Equal for equal sets of n-grams; of a shorter text its whole token run is the only one."""
-    grams = F.when(F.size(toks) >= T.NGRAM, T.ngrams(toks)).otherwise(F.array(F.array_join(toks, " ")))
-    return T.sha256(F.array_join(F.array_sort(F.array_distinct(grams)), "\n"))
+    """Equal for equal sets of n-grams; of a shorter text its whole token run is the only one. Grams are told apart by 64-bit hashes,
+    so that the distinct ones are found by hashing and sorted as numbers."""
+    return T.bound(toks, lambda t: T.sha256(F.array_join(F.sort_array(F.array_distinct(F.when(F.size(t) >= T.NGRAM, T.ngrams(t, key=F.xxhash64)).otherwise(F.array(F.xxhash64(t))))), ",")))
 
 
 def near_pairs(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BANDS, n_perm: int = C.PERMUTATIONS) -> DataFrame:
@@ -47,13 +47,14 @@ def near_pairs(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BAND
         raise ValueError("more bands are needed for this cut")
     edges = [n_perm * b // bands for b in range(bands + 1)]
     band = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", edges[b] + 1, edges[b + 1] - edges[b])) for b in range(bands)])
-    rows = signed.select(key, "sig", F.explode(band).alias("band"))
+    signed = materialised(signed)  # read three times below
+    rows = signed.select(key, F.explode(band).alias("band"))
     shared = rows.groupBy("band").count().where("count > 1").select("band")
     rows = rows.join(shared, "band")
     a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col(f"a.{key}") < F.col(f"b.{key}")))
-    sim = C.similarity(F.col("a.sig"), F.col("b.sig"))
-    return pairs.select(F.col(f"a.{key}").alias("lo"), F.col(f"b.{key}").alias("hi"), sim.alias("jaccard")).where(F.col("jaccard") >= cut).distinct()
+    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col(f"a.{key}") < F.col(f"b.{key}"))).select(F.col(f"a.{key}").alias("lo"), F.col(f"b.{key}").alias("hi")).distinct()
+    of = lambda c, s: signed.select(F.col(key).alias(c), F.col("sig").alias(s))
+    return pairs.join(of("lo", "_a"), "lo").join(of("hi", "_b"), "hi").select("lo", "hi", C.similarity(F.col("_a"), F.col("_b")).alias("jaccard")).where(F.col("jaccard") >= cut)
 
 
 def accept_in_order(edges: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def audit(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cut: float
 
     Equal texts have equal n-gram sets, and these equal signatures, so one seed of each set stands for all in the graph; the
     others are exact duplicates of it if it is accepted, and near-duplicates of what beat it otherwise."""
-    dirty = C.ngram_hits(docs, C.postings(benchmark), [key]).select(key).distinct()
+    dirty = materialised(C.ngram_hits(docs, C.postings(benchmark), [key]).select(key).distinct())  # read three times below
     clean = docs.join(dirty, key, "left_anti")
     toks = clean.select(key, "text", T.tokens(F.col("text")).alias("toks"))
     keyed = materialised(toks.select(key, ngram_set_key(F.col("toks")).alias("set_key")))

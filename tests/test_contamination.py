@@ -50,7 +50,7 @@ def test_modular_product():
     h = [rng.randrange(1 << 61) for _ in range(500)] + [0, C.PRIME - 1, C.PRIME]
     for _ in range(20):
         a = rng.randrange(1, C.PRIME)
-        got = C._mulmod(np.array(h, np.uint64), a)
+        got = C._mulmod(np.array(h, np.uint64), np.uint64(a))
         assert [int(x) for x in got] == [x * a % C.PRIME for x in h]
 
 
