@@ -6,7 +6,6 @@ outlive its lineage goes to the folder of ``spark.checkpoint.dir``, which execut
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's switch for removing a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word is a run of anything but these (space, \t, \n, \v, \f, \r); ``bytes.split()`` cuts at the same.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
 
@@ -35,7 +36,13 @@ class Scratch:
         self.spark, self.root = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        """``df`` written and read again; the shuffles that made it are removed as soon as it is there, as nothing reads them again."""
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
@@ -44,8 +51,6 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
-        gc.collect()  # shuffle files of finished queries go when the driver collects its garbage, in Python and in the JVM
-        jvm.System.gc()
 
 
 def text_key(text: str = "text") -> list:

@@ -6,14 +6,15 @@ over the hashes. Only nodes that span ``min_words`` words or more are made; the
 the tree over the positions that are the minimum of some stretch of that length has them all, and both ends of their spans.
 
 Windows of one minimum in two documents are candidates. None is expanded into pairs: each is held against the windows of the
-least and of the greatest document that share the minimum. The windows of two documents that overlap in both are
-joined, and each joined one is verified on the shingles themselves: the longest stretch around its anchor of which as
-large a part as the similarity asks for occurs in the other document near the same diagonal, then the Jaccard
-similarity of both stretches. Passages of equal words share every minimum, so none is missed; at similarity s all of H
-functions miss one with probability (1 - s) ^ H, 0.0016 at the defaults.
+least and the greatest document that share the minimum. A document's windows that meet one partner near one diagonal, no further apart than
+REACH, are joined into one interval, and each interval, with REACH shingles on either side, is verified on the shingles themselves:
+the longest stretch around an anchor of which as large a part as the similarity asks for occurs in the partner near the
+diagonal, then the Jaccard similarity of both stretches. Passages of equal words share every minimum, so none is missed; at
+similarity s all of H functions miss one with probability (1 - s) ^ H in each stretch of ``min_words`` words, 0.04 for a stretch at the
+least similarity and the defaults, 0.01 at 0.9.
 
 Defined results: a null or empty text has no passages; of rows equal in id and text each gets the same result, and they
-are no partners of each other; a null id ranks after all others and, as a partner, is null; texts under ``min_words`` words
+are no partners of each other; a null id (as the greatest 64-bit number) ranks after all others and, as a partner, is null; texts under ``min_words`` words
 take no part; an empty table gives no rows. Repeats within a document are not reported. Texts are taken whole.
 """
 
@@ -25,10 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, text_key
+from .base import Scratch, slices
 from .neardup import _FOLD, _hashes, _mix
 
-WIDTH, MIN_WORDS, PERCENT, HASHES = 5, 50, 80, 4
+WIDTH, MIN_WORDS, PERCENT, HASHES, REACH = 5, 50, 80, 2, 64
+NO_ID = (1 << 63) - 1
 _U = np.uint64
 
 
@@ -50,16 +52,17 @@ def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]
     n = len(values)
     if n < span:
         return []
-    # Least places of all stretches of the length: minima over 1, 2, 4, ... places, the last step overlapping.
-    least, length = np.arange(n), 1
-    while length < span:
+    bits = _U(max(24, n.bit_length()))
+    packed = (values >> bits << bits) | np.arange(n, dtype=_U)  # the high bits decide, then the place
+    least, length = packed, 1
+    while length < span:  # minima over 1, 2, 4, ... places, the last step overlapping
         step = min(length, span - length)
-        a, b = least[: len(least) - step], least[step:]
-        least = np.where(values[b] < values[a], b, a)
+        least = np.minimum(least[: len(least) - step], least[step:])
         length += step
+    nodes = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    places = (nodes & _U((1 << int(bits)) - 1)).tolist()
     out, stack = [], []
-    places = np.unique(least).tolist()
-    for c, v in zip(places, values[places].tolist()):
+    for c, v in zip(places, nodes.tolist()):
         while stack and stack[-1][1] > v:
             at, _, lo = stack.pop()
             out.append((lo, at, c - 1))
@@ -68,11 +71,14 @@ def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]
     return [w for w in out if w[2] - w[0] + 1 >= span]
 
 
-WINDOWS = "doc_id long, _th long, _tl int, key long, l int, c int, r int"
+def _named(docs: DataFrame) -> DataFrame:
+    """(id, th, text): a document is told apart by its id and a hash of its text."""
+    th = F.coalesce(F.xxhash64("text"), F.lit(0))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), th.alias("th"), F.col("text").cast("string").alias("text"))
 
 
 def windows(docs: DataFrame, width: int, min_words: int, hashes: int, seed: int = 23) -> DataFrame:
-    """The compact windows of every document, with a key of hash function and minimum."""
+    """(id, th, key, c): the compact windows' minima of every document, with a key of hash function and minimum."""
     seeds = np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, hashes, _U)
     span = min_words - width + 1
 
@@ -80,20 +86,18 @@ def windows(docs: DataFrame, width: int, min_words: int, hashes: int, seed: int
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part, doc, key, places = b.slice(lo, 256), [], [], []
-                for i, v in enumerate(part.column(3).cast(pa.large_binary())):
+                for i, v in enumerate(part.column(2).cast(pa.large_binary())):
                     s = sequence(v.as_py(), width)
-                    for seed in seeds:
-                        found = np.array(compact_windows(_mix(s ^ seed), span), np.int32).reshape(-1, 3)
-                        doc.append(np.full(len(found), i))
-                        key.append(_mix(s[found[:, 1]] + seed))
-                        places.append(found)
+                    for seed in seeds if len(s) >= span else ():
+                        c = np.array([w[1] for w in compact_windows(_mix(s ^ seed), span)], np.int32)
+                        doc.append(np.full(len(c), i))
+                        key.append(_mix(s[c] + seed))
+                        places.append(c)
                 at = pa.array(np.concatenate(doc)) if doc else pa.array([], pa.int64())
-                p = np.concatenate(places) if places else np.zeros((0, 3), np.int32)
                 k = np.concatenate(key).view(np.int64) if key else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([*(part.column(j).take(at) for j in range(3)), pa.array(k), *(pa.array(p[:, j].copy()) for j in range(3))], names=["doc_id", "_th", "_tl", "key", "l", "c", "r"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(k), pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))], names=["id", "th", "key", "c"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(rows, WINDOWS)
+    return _named(docs).mapInArrow(rows, "id long, th long, key long, c int")
 
 
 def _stretch(hit: np.ndarray, anchor: int, percent: int) -> tuple[int, int]:
@@ -119,8 +123,20 @@ def _run(hit: np.ndarray, at: np.ndarray, anchor: int) -> tuple[int, int]:
     return int(broken[k - 1]) + 1 if k else 0, int(broken[k]) if k < len(broken) else len(hit) - 1
 
 
-def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, ...]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]]:
-    """Verified passages (first and last word of x, of y) around ``anchors`` (l, c, r of x, l, c, r of y)."""
+def intervals(anchors: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Anchors (c, d) of one pair of documents, joined where they follow one another within REACH on a diagonal that drifts less than that."""
+    out: list[list[tuple[int, int]]] = []
+    for c, d in sorted(set(anchors)):
+        near = next((k for k in reversed(out[-8:]) if c - k[-1][0] <= REACH and abs((c - d) - (k[-1][0] - k[-1][1])) <= REACH // 4), None)
+        if near is None:
+            out.append([(c, d)])
+        else:
+            near.append((c, d))
+    return out
+
+
+def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """Verified stretches (first and last word of x, of y) around anchors (place in x, place in y)."""
     order = np.argsort(y, kind="stable")
     ranked = y[order]
     shared = np.flatnonzero(ranked[np.minimum(np.searchsorted(ranked, x), len(y) - 1)] == x)
@@ -128,8 +144,7 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, ...]], width: i
     many = np.flatnonzero(highs - lows > 1).tolist()
     out: list[tuple[int, int, int, int]] = []
     seen: list[tuple[int, int, int, int]] = []
-    # Windows that overlap in both documents are one candidate: an anchor within a stretch that was looked at adds nothing.
-    for c, d in sorted({(a[1], a[4]) for a in anchors}):
+    for c, d in anchors:
         if any(i <= c <= j and k <= d <= m for i, j, k, m in seen):
             continue
         # A shingle of x counts if it occurs in y within a drift of the diagonal that grows with the distance from the anchor.
@@ -152,62 +167,99 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, ...]], width: i
                 break
         seen.append((i, j, k, m))
         if min(j - i, m - k) + width >= min_words and 100 * common >= percent * union:
-            out.append((i, j, k, m))
-    return sorted((i, j + width - 1, k, m + width - 1) for i, j, k, m in out)
+            out.append((i, j + width - 1, k, m + width - 1))
+    return out
+
+
+def _shared(docs: DataFrame, scratch: Scratch, width: int, min_words: int, hashes: int) -> DataFrame:
+    """(key, id, th, c, lo, hi): windows of keys that two documents or more have. Keys are counted with partial sums; only shared ones go on."""
+    found = scratch.save(windows(docs, width, min_words, hashes), "windows")
+    ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b")).where("lo <> hi or a <> b").select("key", "lo", "hi")
+    return scratch.save(found.join(ends, "key"), "hits")
 
 
 def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
-    """Verified passages: documents x and y as (none, doc_id, _th, _tl), y the least or greatest that shares a minimum with x; words
-    xs..xe of x and ys..ye of y, from 0, both included."""
+    """Verified stretches (x, xs, xe, y, ys, ye): documents x and y as (id, th), y the least or greatest that shares a minimum with x; words xs..xe
+    of x and ys..ye of y, from 0, both included."""
     scratch = Scratch(docs.sparkSession)
-    who = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "_th", "_tl")
-    found = windows(docs, width, min_words, hashes)
-    window = F.struct(who.alias("who"), "l", "c", "r")
-    ends = found.groupBy("key").agg(F.min(window).alias("lo"), F.max(window).alias("hi")).where("lo.who <> hi.who")
-    ends = scratch.save(ends, "ends")
-    hits = found.select("key", who.alias("x"), "l", "c", "r").join(ends, "key").select("x", "l", "c", "r", F.explode(F.array("lo", "hi")).alias("y")).where("x <> y.who")
-    pairs = hits.groupBy("x", F.col("y.who").alias("w")).agg(F.collect_set(F.struct("l", "c", "r", F.col("y.l").alias("yl"), F.col("y.c").alias("yc"), F.col("y.r").alias("yr"))).alias("anchors"))
-    # Both ways of a pair are one: the greater document is x. A pair's anchors are bounded by the two texts.
-    turned = F.when(F.col("x") > F.col("w"), F.col("anchors")).otherwise(F.transform("anchors", lambda a: F.struct(a["yl"].alias("l"), a["yc"].alias("c"), a["yr"].alias("r"), a["l"].alias("yl"), a["c"].alias("yc"), a["r"].alias("yr"))))
-    pairs = scratch.save(pairs.select(F.greatest("x", "w").alias("x"), F.least("x", "w").alias("y"), turned.alias("anchors")).groupBy("x", "y").agg(F.array_distinct(F.flatten(F.collect_list("anchors"))).alias("anchors")), "pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("who")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(), F.col("text").cast("string").alias("text")).select(who.alias("who"), "text")
-    texts = scratch.save(texts.join(wanted, "who").groupBy("who").agg(F.min("text").alias("text")), "texts")
-    both = pairs.join(texts.select(F.col("who").alias("x"), F.col("text").alias("tx")), "x").join(texts.select(F.col("who").alias("y"), F.col("text").alias("ty")), "y").select("x", "y", "anchors", "tx", "ty")
+    hits = _shared(docs, scratch, width, min_words, hashes)
+    scratch.drop("windows")  # and with it the shuffles that read it
+    least, greatest = F.min(F.struct("id", "th", "c")), F.max(F.struct("id", "th", "c"))
+    hubs = hits.where("id = lo or id = hi").groupBy("key").agg(F.array_distinct(F.array(least, greatest)).alias("hubs"))
+    met = hits.join(hubs, "key").select("id", "th", "c", F.explode("hubs").alias("h")).where("id <> h.id or th <> h.th")
+    pairs = met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(F.struct("c", F.col("h.c").alias("d"))).alias("anchors"))
+    pairs = scratch.save(pairs, "pairs")
+    scratch.drop("hits")
+    texts = _named(docs).dropDuplicates(["id", "th"])
 
-    def verify(batches):
+    def cut(batches):
+        """The partner's part of each interval goes to the document; its own text is there once."""
         last: tuple = (None, None)
-        for b in batches:
-            at, spans = [], []
-            for i in range(b.num_rows):
-                y = b.column(1)[i].as_py()
-                if last[0] != y:
-                    last = (y, sequence(b.column(4)[i].as_py().encode(), width))
-                anchors = [(a["l"], a["c"], a["r"], a["yl"], a["yc"], a["yr"]) for a in b.column(2)[i].as_py()]
-                for s in align(sequence(b.column(3)[i].as_py().encode(), width), last[1], anchors, width, min_words, percent):
+        for b in slices(batches):
+            at, first, part, places = [], [], [], []
+            ids, ths = b.column(2).to_pylist(), b.column(3).to_pylist()
+            for i, anchors in enumerate(b.column(4)):
+                if last[0] != (ids[i], ths[i]):
+                    last = ((ids[i], ths[i]), sequence(b.column(5)[i].as_py().encode(), width))
+                for k in intervals(list(zip(anchors.values.field(0).to_pylist(), anchors.values.field(1).to_pylist()))):
+                    lo = max(0, min(d for _, d in k) - REACH)
                     at.append(i)
-                    spans.append(s)
-            p = np.array(spans, np.int32).reshape(-1, 4)
-            at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *(pa.array(p[:, j].copy()) for j in range(4))], names=["x", "y", "xs", "xe", "ys", "ye"])
+                    first.append(lo)
+                    part.append((last[1][lo : max(d for _, d in k) + REACH + 1] >> _U(32)).astype("<u4").tobytes())
+                    places.append(np.array(k, "<i4").tobytes())
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(take) for k in range(4)), pa.array(first, pa.int32()), pa.array(part, pa.binary()), pa.array(places, pa.binary())], names=["id", "th", "y", "yth", "first", "part", "places"])
 
-    kind = "struct<none:boolean,doc_id:long,_th:long,_tl:int>"
-    return both.mapInArrow(verify, f"x {kind}, y {kind}, xs int, xe int, ys int, ye int")
+    partner = texts.select(F.col("id").alias("y"), F.col("th").alias("yth"), "text")
+    parts = pairs.join(partner, ["y", "yth"]).select("id", "th", "y", "yth", "anchors", "text").mapInArrow(cut, "id long, th long, y long, yth long, first int, part binary, places binary")
+    parts = scratch.save(parts.groupBy("id", "th").agg(F.collect_list(F.struct("y", "yth", "first", "part", "places")).alias("parts")), "parts")
+    scratch.drop("pairs")
+
+    def verify(batches):
+        for b in slices(batches, 64):
+            at, other, spans = [], [], []
+            for i, asked in enumerate(b.column(3)):
+                x = (sequence(b.column(2)[i].as_py().encode(), width) >> _U(32)).astype(np.uint32)
+                for p in asked.as_py():
+                    y, k = np.frombuffer(p["part"], "<u4"), np.frombuffer(p["places"], "<i4").reshape(-1, 2)
+                    lo = max(0, int(k[:, 0].min()) - REACH)
+                    own = x[lo : int(k[:, 0].max()) + REACH + 1]
+                    for s in align(own, y, [(int(c) - lo, int(d) - p["first"]) for c, d in k], width, min_words, percent):
+                        at.append(i)
+                        other.append((p["y"], p["yth"]))
+                        spans.append((s[0] + lo, s[1] + lo, s[2] + p["first"], s[3] + p["first"]))
+            p, take = np.array(spans, np.int32).reshape(-1, 4), pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array([o[0] for o in other], pa.int64()), pa.array([o[1] for o in other], pa.int64()), *(pa.array(p[:, j].copy()) for j in range(4))], names=["x", "xth", "y", "yth", "xs", "xe", "ys", "ye"])
+
+    both = texts.join(parts, ["id", "th"]).select("id", "th", "text", "parts")
+    out = scratch.save(both.mapInArrow(verify, "x long, xth long, y long, yth long, xs int, xe int, ys int, ye int"), "stretches")
+    scratch.drop("parts")
+    return out.select(F.struct(F.col("x").alias("id"), F.col("xth").alias("th")).alias("x"), F.struct(F.col("y").alias("id"), F.col("yth").alias("th")).alias("y"), "xs", "xe", "ys", "ye")
 
 
 def duplicate_passages(docs: DataFrame, **options) -> DataFrame:
     """For each row of ``docs`` (doc_id, text), by place, in words from 0: ``passages`` that an earlier document (by id) has too, as
     (first, last, partner, partner_first, partner_last); ``n_dup_words`` in them, which a deduplicated text leaves out; and
-    ``sources``, stretches (first, last) that later documents repeat. All are bounded by the document's own length."""
-    scratch = Scratch(docs.sparkSession)
-    found = scratch.save(passages(docs, **options), "passages")
-    later = found.groupBy("x").agg(F.array_sort(F.collect_set(F.struct(F.col("xs").alias("first"), F.col("xe").alias("last"), F.when(~F.col("y.none"), F.col("y.doc_id")).alias("partner"), F.col("ys").alias("partner_first"), F.col("ye").alias("partner_last")))).alias("passages"))
-    # Of a source that thousands repeat, only the longest stretch from each first word is kept: no list grows with its partners.
-    earlier = found.groupBy("y", "ys").agg(F.max("ye").alias("ye")).groupBy("y").agg(F.array_sort(F.collect_list(F.struct(F.col("ys").alias("first"), F.col("ye").alias("last")))).alias("sources"))
-    both = later.withColumnRenamed("x", "who").join(earlier.withColumnRenamed("y", "who"), "who", "full").select("who", "passages", "sources")
-    who = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "_th", "_tl")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key()).select("doc_id", who.alias("who"))
-    nothing = lambda c, kind: F.coalesce(F.col(c), F.expr(f"cast(array() as array<struct<{kind}>>)")).alias(c)
-    out = rows.join(both, "who", "left").select("doc_id", nothing("passages", "first:int,last:int,partner:bigint,partner_first:int,partner_last:int"), nothing("sources", "first:int,last:int"))
+    ``sources``, stretches (first, last) that later documents repeat. Of the stretches from one word only that of the least partner,
+    the longest, is listed, so no list grows with the number of copies."""
+    found = passages(docs, **options)
+    side = lambda own, s, e, other, ps, pe: found.select(F.col(own).alias("who"), F.col(s).alias("first"), F.col(e).alias("last"), F.col(other).alias("partner"), F.col(ps).alias("pf"), F.col(pe).alias("pl"))
+    both = side("x", "xs", "xe", "y", "ys", "ye").unionAll(side("y", "ys", "ye", "x", "xs", "xe"))
+    best = both.groupBy("who", "first", (F.col("partner") < F.col("who")).alias("later")).agg(F.min_by(F.struct("last", "partner", "pf", "pl"), F.struct("partner", -F.col("last"))).alias("b"))
+    lists = best.groupBy("who").agg(F.array_sort(F.collect_list(F.when(F.col("later"), F.struct("first", "b.*")))).alias("p"), F.array_sort(F.collect_list(F.when(~F.col("later"), F.struct("first", "b.last")))).alias("s"))
+
+    def merged(spans, kind, same, longer):
+        """Interval join: a stretch that starts within the last one, on its diagonal, goes on with it."""
+        def step(acc, x):
+            last = F.try_element_at(acc, F.lit(-1))
+            return F.when(F.coalesce((x["first"] <= last["last"] + 1) & same(last, x), F.lit(False)), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer(last, x)))).otherwise(F.concat(acc, F.array(x)))
+
+        return F.aggregate(F.coalesce(spans, F.expr(f"cast(array() as array<struct<{kind}>>)")), F.expr(f"cast(array() as array<struct<{kind}>>)"), step)
+
+    kind = "first:int,last:int,partner:struct<id:bigint,th:bigint>,pf:int,pl:int"
+    own = merged(F.col("p"), kind, lambda a, x: (a["partner"] == x["partner"]) & (F.abs((a["first"] - a["pf"]) - (x["first"] - x["pf"])) <= WIDTH * 5), lambda a, x: F.struct(a["first"].alias("first"), F.greatest(a["last"], x["last"]).alias("last"), a["partner"].alias("partner"), F.least(a["pf"], x["pf"]).alias("pf"), F.greatest(a["pl"], x["pl"]).alias("pl")))
+    given = merged(F.col("s"), "first:int,last:int", lambda a, x: F.lit(True), lambda a, x: F.struct(a["first"].alias("first"), F.greatest(a["last"], x["last"]).alias("last")))
+    named = _named(docs).select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.struct("id", "th").alias("who"))
+    out = named.join(lists, "who", "left").select("doc_id", F.transform(own, lambda p: F.struct(p["first"].alias("first"), p["last"].alias("last"), F.when(p["partner"]["id"] != NO_ID, p["partner"]["id"]).alias("partner"), p["pf"].alias("partner_first"), p["pl"].alias("partner_last"))).alias("passages"), given.alias("sources"))
     covered = F.aggregate("passages", F.struct(F.lit(0).alias("at"), F.lit(0).alias("n")), lambda acc, p: F.struct(F.greatest(acc["at"], p["last"] + 1).alias("at"), (acc["n"] + F.greatest(F.lit(0), p["last"] + 1 - F.greatest(acc["at"], p["first"]))).alias("n")), lambda acc: acc["n"])
     return out.select("doc_id", covered.cast("long").alias("n_dup_words"), "passages", "sources")
