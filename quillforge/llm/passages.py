@@ -135,8 +135,42 @@ def intervals(anchors: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return out
 
 
+def _similar(x: np.ndarray, y: np.ndarray, hits: int, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union of the distinct shingles; counted only where the matched places leave it open."""
+    spread = len(x) + len(y)
+    if 100 * hits >= (percent + 5) * (spread - hits):
+        return True
+    common = len(np.intersect1d(x, y))
+    return 100 * common >= percent * (len(np.unique(x)) + len(np.unique(y)) - common)
+
+
+def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]] | None:
+    """``align`` where all anchors lie on one diagonal and one stretch along it holds them all; else None."""
+    c, shift = anchors[0][0], anchors[0][1] - anchors[0][0]
+    if any(d - k != shift for k, d in anchors):
+        return None
+    lo, hi = max(0, -shift), min(len(x), len(y) - shift)
+    equal = x[lo:hi] == y[lo + shift : hi + shift]
+    if equal.all():
+        i, j = 0, hi - lo - 1
+    elif equal[c - lo]:
+        i, j = _stretch(equal, c - lo, percent)
+    else:
+        return None
+    i, j = i + lo, j + lo
+    if i > c or j < max(k for k, _ in anchors):
+        return None
+    own, other = x[i : j + 1], y[i + shift : j + shift + 1]
+    if not _similar(own, other, int(np.count_nonzero(own == other)), percent):
+        return None
+    return [(i, j + width - 1, i + shift, j + shift + width - 1)] if j - i + width >= min_words else []
+
+
 def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]]:
-    """Verified stretches (first and last word of x, of y) around anchors (place in x, place in y)."""
+    """Verified stretches (first and last word of x, of y) around anchors (place in x, place in y), in order of their place in x."""
+    direct = _on_diagonal(x, y, anchors, width, min_words, percent)
+    if direct is not None:
+        return direct
     order = np.argsort(y, kind="stable")
     ranked = y[order]
     shared = np.flatnonzero(ranked[np.minimum(np.searchsorted(ranked, x), len(y) - 1)] == x)
@@ -161,12 +195,10 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
         for i, j in (_stretch(hit, c, percent), _run(hit, at, c)):
             ys = at[i : j + 1][hit[i : j + 1]]
             k, m = int(ys.min()), int(ys.max())
-            common = len(np.intersect1d(x[i : j + 1], y[k : m + 1]))
-            union = len(np.unique(x[i : j + 1])) + len(np.unique(y[k : m + 1])) - common
-            if 100 * common >= percent * union:
+            if good := _similar(x[i : j + 1], y[k : m + 1], len(ys), percent):
                 break
         seen.append((i, j, k, m))
-        if min(j - i, m - k) + width >= min_words and 100 * common >= percent * union:
+        if good and min(j - i, m - k) + width >= min_words:
             out.append((i, j + width - 1, k, m + width - 1))
     return out
 
