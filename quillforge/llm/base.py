@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Spark's switch for removing a query's shuffle files at its end.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What holds while a table is saved: a query's shuffle files go at its end, and Arrow batches between the JVM and Python stay small.
+WHILE_SAVING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608b"}
 #: A word is a run of anything but these (space, \t, \n, \v, \f, \r); ``bytes.split()`` cuts at the same.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
 
@@ -37,12 +37,15 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written and read again; the shuffles that made it are removed as soon as it is there, as nothing reads them again."""
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
+        conf = self.spark.conf
+        before = {k: conf.get(k, None) for k in WHILE_SAVING}
         try:
+            for k, v in WHILE_SAVING.items():
+                conf.set(k, v)
             df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         finally:
-            self.spark.conf.set(CLEANUP, before)
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
