@@ -5,13 +5,18 @@ subsequences that start in l..c, end in c..r and so have the shingle at c as the
 over the hashes. Only nodes that span ``min_words`` words or more are made; the parent of such a node is one too, so
 the tree over the positions that are the minimum of some stretch of that length has them all, and both ends of their spans.
 
-Windows of one minimum in two documents are candidates. None is expanded into pairs: each is held against the windows of the
-least and the greatest document that share the minimum. A document's windows that meet one partner near one diagonal, no further apart than
+Windows of one minimum in two documents are candidates. None is expanded into pairs: each is held against a window of the
+least and of the greatest document that share the minimum. Up to three windows of a minimum all meet that way. Where there are more,
+the two may have the minimum in another context, a common line say; so every stretch of ``min_words`` words around such a minimum is
+hashed whole, and held against the least and the greatest document of that stretch, which hold all of it. That makes a row for each
+place at most, for one hash function. A document's windows that meet one partner near one diagonal, no further apart than
 REACH, are joined into one interval, and each interval, with REACH shingles on either side, is verified on the shingles themselves:
 the longest stretch around an anchor of which as large a part as the similarity asks for occurs in the partner near the
-diagonal, then the Jaccard similarity of both stretches. Passages of equal words share every minimum, so none is missed; at
-similarity s all of H functions miss one with probability (1 - s) ^ H in each stretch of ``min_words`` words, 0.04 for a stretch at the
-least similarity and the defaults, 0.01 at 0.9.
+diagonal, then the Jaccard similarity of both stretches. Stretches of ``min_words`` equal words share every minimum and their own
+hash, so none is missed; at similarity s all of H functions miss one with probability (1 - s) ^ H in each stretch of ``min_words`` words,
+0.04 for a stretch at the least similarity and the defaults, 0.01 at 0.9. Beyond that a stretch that is similar but nowhere equal over
+``min_words`` words is missed if four windows or more share each minimum it has in common with its partner and neither the least nor the
+greatest document of them is similar there.
 
 Defined results: a null or empty text has no passages; of rows equal in id and text each gets the same result, and they
 are no partners of each other; a null id (as the greatest 64-bit number) ranks after all others and, as a partner, is null; texts under ``min_words`` words
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 from .base import Scratch, slices
 from .neardup import _FOLD, _hashes, _mix
 
-WIDTH, MIN_WORDS, PERCENT, HASHES, REACH = 5, 50, 80, 2, 64
+WIDTH, MIN_WORDS, PERCENT, HASHES, REACH, STEP = 5, 50, 80, 2, 64, 16
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 
@@ -47,20 +52,36 @@ def sequence(raw: bytes | None, width: int) -> np.ndarray:
     return _mix(out)
 
 
-def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """The Cartesian tree's nodes (l, c, r) over ``values`` with r - l + 1 >= span; of equal values the first is the least."""
-    n = len(values)
-    if n < span:
-        return []
-    bits = _U(max(24, n.bit_length()))
-    packed = (values >> bits << bits) | np.arange(n, dtype=_U)  # the high bits decide, then the place
+def _least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.uint64]:
+    """The least of each ``span`` values that follow one another, with its place in the low bits that the mask holds; of equal values the first."""
+    bits = _U(max(24, len(values).bit_length()))
+    packed = (values >> bits << bits) | np.arange(len(values), dtype=_U)  # the high bits decide, then the place
     least, length = packed, 1
     while length < span:  # minima over 1, 2, 4, ... places, the last step overlapping
         step = min(length, span - length)
         least = np.minimum(least[: len(least) - step], least[step:])
         length += step
+    return least, _U((1 << int(bits)) - 1)
+
+
+def stretches(x: np.ndarray, span: int) -> np.ndarray:
+    """A hash of each ``span`` shingles that follow one another."""
+    out, length = x, 1
+    while length < span:
+        step = min(length, span - length)
+        out = _mix(_mix(out[: len(out) - step]) + out[step:])
+        length += step
+    return out
+
+
+def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
+    """The Cartesian tree's nodes (l, c, r) over ``values`` with r - l + 1 >= span; of equal values the first is the least."""
+    n = len(values)
+    if n < span:
+        return []
+    least, mask = _least(values, span)
     nodes = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    places = (nodes & _U((1 << int(bits)) - 1)).tolist()
+    places = (nodes & mask).tolist()
     out, stack = [], []
     for c, v in zip(places, nodes.tolist()):
         while stack and stack[-1][1] > v:
@@ -77,9 +98,13 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), th.alias("th"), F.col("text").cast("string").alias("text"))
 
 
-def windows(docs: DataFrame, width: int, min_words: int, hashes: int, seed: int = 23) -> DataFrame:
+def _seeds(hashes: int, seed: int = 23) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, hashes, _U)
+
+
+def windows(docs: DataFrame, width: int, min_words: int, hashes: int) -> DataFrame:
     """(id, th, key, c): the compact windows' minima of every document, with a key of hash function and minimum."""
-    seeds = np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, hashes, _U)
+    seeds = _seeds(hashes)
     span = min_words - width + 1
 
     def rows(batches):
@@ -204,25 +229,62 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
 
 
 def _shared(docs: DataFrame, scratch: Scratch, width: int, min_words: int, hashes: int) -> DataFrame:
-    """(key, id, th, c, lo, hi): windows of keys that two documents or more have. Keys are counted with partial sums; only shared ones go on."""
+    """(key, id, th, c, lo, hi, n): windows of keys that two documents or more have, n of each. Keys are counted with partial sums; only shared ones go on."""
     found = scratch.save(windows(docs, width, min_words, hashes), "windows")
-    ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b")).where("lo <> hi or a <> b").select("key", "lo", "hi")
+    ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b"), F.count("*").alias("n")).where("lo <> hi or a <> b").select("key", "lo", "hi", "n")
     return scratch.save(found.join(ends, "key"), "hits")
 
 
+def equal_stretches(crowded: DataFrame, texts: DataFrame, scratch: Scratch, width: int, min_words: int, hashes: int) -> DataFrame:
+    """(id, th, c, h): each stretch of ``min_words`` words whose minimum is in ``crowded`` (id, th, c, tags: what it was held against) against the least
+    and the greatest document that have all of it, unless it was. A place in STEP stands for the stretches that hold it."""
+    span, seed = min_words - width + 1, _seeds(hashes)[0]
+
+    def rows(batches):
+        for b in slices(batches, 64):
+            at, key, places, lo, hi = [], [], [], [], []
+            for i, found in enumerate(b.column(3)):
+                s = sequence(b.column(2)[i].as_py().encode(), width)
+                c, a, z = (found.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                least, mask = _least(_mix(s ^ seed), span)
+                of = np.full(len(s), -1)
+                of[c] = np.arange(len(c))
+                window = of[(least & mask).astype(np.int64)]
+                p = np.flatnonzero(window >= 0)
+                at.append(np.full(len(p), i))
+                key.append(stretches(s, span)[p].view(np.int64))
+                places.append(p.astype(np.int32))
+                lo.append(a[window[p]])
+                hi.append(z[window[p]])
+            if at:
+                take = pa.array(np.concatenate(at))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *(pa.array(np.concatenate(v)) for v in (key, places, lo, hi))], names=["id", "th", "key", "p", "a", "z"])
+
+    asked = crowded.groupBy("id", "th").agg(F.collect_list(F.struct("c", "a", "z")).alias("found"))
+    placed = scratch.save(texts.join(asked, ["id", "th"]).select("id", "th", "text", "found").mapInArrow(rows, "id long, th long, key long, p int, a long, z long"), "places")
+    ends = placed.groupBy("key").agg(F.min(F.struct("id", "th", "p")).alias("lo"), F.max(F.struct("id", "th", "p")).alias("hi")).where("lo.id <> hi.id or lo.th <> hi.th")
+    met = placed.join(ends, "key").select("id", "th", "p", "a", "z", F.explode(F.array("lo", "hi")).alias("h")).where("(id <> h.id or th <> h.th) and xxhash64(h.id, h.th, h.p - p) not in (a, z)")
+    ahead = F.pmod(-F.col("p"), F.lit(min(STEP, span)))
+    return met.select("id", "th", (F.col("p") + ahead).alias("c"), F.struct("h.id", "h.th", (F.col("h.p") + ahead).alias("c")).alias("h")).distinct()
+
+
 def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
-    """Verified stretches (x, xs, xe, y, ys, ye): documents x and y as (id, th), y the least or greatest that shares a minimum with x; words xs..xe
+    """Verified stretches (x, xs, xe, y, ys, ye): documents x and y as (id, th), y the least or greatest that shares a minimum or a stretch with x; words xs..xe
     of x and ys..ye of y, from 0, both included."""
     scratch = Scratch(docs.sparkSession)
     hits = _shared(docs, scratch, width, min_words, hashes)
     scratch.drop("windows")  # and with it the shuffles that read it
     least, greatest = F.min(F.struct("id", "th", "c")), F.max(F.struct("id", "th", "c"))
+    texts = _named(docs).dropDuplicates(["id", "th"])
     hubs = hits.where("id = lo or id = hi").groupBy("key").agg(F.array_distinct(F.array(least, greatest)).alias("hubs"))
     met = hits.join(hubs, "key").select("id", "th", "c", F.explode("hubs").alias("h")).where("id <> h.id or th <> h.th")
+    tag = lambda at: F.expr(f"xxhash64(element_at(hubs, {at}).id, element_at(hubs, {at}).th, element_at(hubs, {at}).c - c)")
+    crowded = hits.where("n > 3").join(hubs, "key").select("id", "th", "c", tag(1).alias("a"), tag(-1).alias("z"))
+    met = met.unionAll(scratch.save(equal_stretches(crowded, texts, scratch, width, min_words, hashes), "equal"))
+    scratch.drop("places")
     pairs = met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(F.struct("c", F.col("h.c").alias("d"))).alias("anchors"))
     pairs = scratch.save(pairs, "pairs")
-    scratch.drop("hits")
-    texts = _named(docs).dropDuplicates(["id", "th"])
+    scratch.drop("hits", "equal")
 
     def cut(batches):
         """The partner's part of each interval goes to the document; its own text is there once."""

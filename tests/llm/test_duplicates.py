@@ -149,6 +149,25 @@ def test_every_repeat_of_fifty_words_is_covered(spark):
                 assert any(a <= k and k + 49 <= b for a, b in got[i]), (i, k, got[i])
 
 
+def test_a_common_line_hides_no_passage(spark):
+    """Every minimum of the short passages lies in a line that lesser and greater documents hold elsewhere, also several times, or is passed over by them."""
+    line, rows, shared = words(40, 77), [], {}
+    for i in range(8):
+        around = [words(60, 4000 + 10 * i + k) for k in range(3)]
+        rows.append((i if i < 4 else 1000 + i, around[0] + line + around[1] + (line + around[2] if i % 2 else [])))
+    for k in range(60):  # each passage has its own words around the line, and is in two documents
+        passage = words(6, 5000 + k) + line + words(6, 6000 + k)
+        for j in range(2):
+            before = words(30 + 7 * j, 7000 + 2 * k + j)
+            shared[100 + 2 * k + j] = (len(before), len(before) + 51)
+            rows.append((100 + 2 * k + j, before + passage + words(40, 8000 + 2 * k + j)))
+    got = {r.doc_id: r for r in passages.duplicate_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    for i, (lo, hi) in shared.items():
+        spans = got[i].sources if i % 2 == 0 else got[i].passages
+        assert any(s.first <= lo and hi <= s.last for s in spans), (i, lo, hi, spans)
+        assert got[i].n_dup_words == (52 if i % 2 else 0)
+
+
 def test_passages_awkward(awkward, nothing):
     got = passages.duplicate_passages(awkward)
     assert got.count() == awkward.count() and passages.duplicate_passages(nothing).count() == 0
