@@ -334,12 +334,12 @@ def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, pe
 def duplicate_passages(docs: DataFrame, **options) -> DataFrame:
     """For each row of ``docs`` (doc_id, text), by place, in words from 0: ``passages`` that an earlier document (by id) has too, as
     (first, last, partner, partner_first, partner_last); ``n_dup_words`` in them, which a deduplicated text leaves out; and
-    ``sources``, stretches (first, last) that later documents repeat. Of the stretches from one word only that of the least partner,
-    the longest, is listed, so no list grows with the number of copies."""
+    ``sources``, stretches (first, last) that later documents repeat. Of the stretches from one word only the longest
+    is listed, of equal ones that of the least partner: it holds the others, and no list grows with the number of copies."""
     found = passages(docs, **options)
     side = lambda own, s, e, other, ps, pe: found.select(F.col(own).alias("who"), F.col(s).alias("first"), F.col(e).alias("last"), F.col(other).alias("partner"), F.col(ps).alias("pf"), F.col(pe).alias("pl"))
     both = side("x", "xs", "xe", "y", "ys", "ye").unionAll(side("y", "ys", "ye", "x", "xs", "xe"))
-    best = both.groupBy("who", "first", (F.col("partner") < F.col("who")).alias("later")).agg(F.min_by(F.struct("last", "partner", "pf", "pl"), F.struct("partner", -F.col("last"))).alias("b"))
+    best = both.groupBy("who", "first", (F.col("partner") < F.col("who")).alias("later")).agg(F.min_by(F.struct("last", "partner", "pf", "pl"), F.struct(-F.col("last"), "partner", "pf")).alias("b"))
     lists = best.groupBy("who").agg(F.array_sort(F.collect_list(F.when(F.col("later"), F.struct("first", "b.*")))).alias("p"), F.array_sort(F.collect_list(F.when(~F.col("later"), F.struct("first", "b.last")))).alias("s"))
 
     def merged(spans, kind, same, longer):

@@ -168,6 +168,15 @@ def test_a_common_line_hides_no_passage(spark):
         assert got[i].n_dup_words == (52 if i % 2 else 0)
 
 
+def test_a_short_repeat_hides_no_longer_one(spark):
+    notice, rest = words(55, 31), words(545, 32)
+    rows = [(1, notice + words(100, 33)), (2, notice + rest), (3, notice + rest), (4, words(20, 34) + notice + rest)]
+    got = {r.doc_id: r for r in passages.duplicate_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    for i, lo in ((3, 0), (4, 20)):
+        assert got[i].n_dup_words == 600 and any((s.first, s.last, s.partner, s.partner_first, s.partner_last) == (lo, lo + 599, 2, 0, 599) for s in got[i].passages), got[i]
+    assert got[2].n_dup_words == 55 and [tuple(s) for s in got[2].sources] == [(0, 599)] and [tuple(s) for s in got[1].sources] == [(0, 54)]
+
+
 def test_passages_awkward(awkward, nothing):
     got = passages.duplicate_passages(awkward)
     assert got.count() == awkward.count() and passages.duplicate_passages(nothing).count() == 0
