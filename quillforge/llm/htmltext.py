@@ -5,8 +5,8 @@ headers, footers, sidebars, notices, adverts, forms, comments: by element, role,
 The token streams of a host's pages are concatenated, and a suffix array over them finds the substrings of
 MIN_RUN tokens or more that two distinct pages or more share. Runs that such substrings cover are boilerplate and go
 from ``body`` blocks, of which the unique runs stay; ``side`` blocks go whole. What an article says is never cut, even
-where pages share a passage: only its own side parts go. The text of a page is its article blocks, or, of a page
-without any, the unique runs of its body blocks.
+where pages share a passage: only its own side parts go. The text of a page is its article blocks and the unique runs of
+its body blocks, in page order.
 
 A suffix array over a host's pages is made in one task, so a host is dealt into buckets of at most about BUCKET_CHARS
 characters by a hash of the page; a substring counts as repeated if two pages of a bucket share it. Menus and notices
@@ -60,14 +60,34 @@ def _is_side(tag: str, attrs: str, in_article: bool) -> bool:
     return bool(_HIDDEN.search(attrs))
 
 
+def _closed(page: str) -> set[int]:
+    """Where the elements start that are closed before the body ends, counting elements of one name only."""
+    out: set[int] = set()
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while m := _TAG.search(page, at):
+        at, tag = m.end(), (m[2] or "").lower()
+        if not m[1] and tag in _RAW and not m[3].endswith("/"):
+            end = _RAW[tag].search(page, at)
+            at = end.end() if end else len(page)
+        elif tag and not m[1]:
+            opened.setdefault(tag, []).append(m.start())
+        elif tag in ("body", "html"):
+            opened.clear()
+        elif opened.get(tag):
+            out.add(opened[tag].pop())
+    return out
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks in order, character references decoded and white space made single spaces; empty ones are left out.
 
-    No tree is built: unclosed elements are common. A side part ends where its own element does, and at the latest where an
-    article begins or the one around it, or the body, ends."""
+    No tree is built: unclosed elements are common. A side part ends where its own element does, articles within it (comments, say)
+    included; one that is never closed ends at the latest where an article begins. Both end where the article around them, or the body, ends."""
     out: list[Block] = []
     parts: list[str] = []
     side, depth, article, at, page = "", 0, 0, 0, page or ""
+    start, inner, closed = 0, 0, None
 
     def flush():
         if parts:
@@ -92,10 +112,15 @@ def blocks(page: str | None) -> list[Block]:
         elif tag == "br":
             parts.append(" ")
         if tag in ("article", "main"):
-            if not closing and side:
-                side, depth = "", 0
-            if closing and side:
-                side, depth = "", 0
+            if side and not closing:
+                closed = _closed(page) if closed is None else closed
+                if start in closed:
+                    inner += 1
+                    continue
+            elif side and inner:
+                inner -= 1
+                continue
+            side, depth = "", 0
             article = article + 1 if not closing else max(0, article - 1)
         elif side:
             if tag == side:
@@ -105,7 +130,7 @@ def blocks(page: str | None) -> list[Block]:
                 side, depth = "", 0
         elif not closing and tag not in _VOID and not attrs.endswith("/") and _is_side(tag, attrs, article > 0):
             flush()
-            side, depth = tag, 1
+            side, depth, start, inner = tag, 1, m.start(), 0
     parts.append(page[at:])
     flush()
     return out
@@ -154,6 +179,21 @@ def long_runs(covered: np.ndarray, min_run: int) -> np.ndarray:
     return out
 
 
+def main_text(zones: list[str], texts: list[str], covered: np.ndarray, min_run: int) -> str:
+    """Article blocks, and of body blocks the tokens that do not go as repeated, in page order."""
+    kept, at = [], 0
+    for zone, text in zip(zones, texts):
+        words = text.split(" ")
+        if zone == "article":
+            kept.append(text)
+        elif zone == "body":
+            left = [w for w, c in zip(words, long_runs(covered[at : at + len(words)], min_run).tolist()) if not c]
+            if left:
+                kept.append(" ".join(left))
+        at += len(words)
+    return "\n\n".join(kept)
+
+
 def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN) -> list[tuple[str, int]]:
     """For each page of a host, given as the zones and texts of its blocks: its main text, and how many tokens repeat on other pages."""
     number: dict[str, int] = {}
@@ -165,18 +205,7 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
     covered = dict(zip(own, repeated([streams[i] for i in own], min_run)))
     out = []
     for i, (zones, texts) in enumerate(pages):
-        cover = covered[copy_of[i]]
-        if "article" in zones:
-            kept = [t for z, t in zip(zones, texts) if z == "article"]
-        else:
-            kept, at = [], 0
-            for zone, words in zip(zones, tokens[i]):
-                if zone == "body":
-                    left = [w for w, c in zip(words, long_runs(cover[at : at + len(words)], min_run).tolist()) if not c]
-                    if left:
-                        kept.append(" ".join(left))
-                at += len(words)
-        out.append(("\n\n".join(kept), int(cover.sum())))
+        out.append((main_text(zones, texts, covered[copy_of[i]], min_run), int(covered[copy_of[i]].sum())))
     return out
 
 

@@ -95,3 +95,17 @@ def test_boilerplate_goes_and_articles_stay(spark):
     assert got[1].text == "own words of page 1 only 1" and got[10].text.startswith("own words of page 10 only 10\n\nshared0 shared1")
     assert got[20].text.startswith("item0") and got[21].text == got[None].text == "" and got[10].n_chars == len(got[10].text)
     assert htmltext.extract_text(pages).count() == len(rows) and htmltext.extract_text(pages.limit(0)).count() == 0
+
+
+def test_unique_body_text_stays_beside_an_article(spark):
+    menu = "<div>" + " ".join(f"item{i}" for i in range(12)) + "</div>"
+    rows = [(k, "http://h.net/x", f"<body>{menu}<h1>Heading {k}</h1><article><p>said {k}</p></article><p>after it {k}</p></body>", "t") for k in range(3)]
+    got = {r.page_id: r.text for r in htmltext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
+    assert got == {k: f"Heading {k}\n\nsaid {k}\n\nafter it {k}" for k in range(3)}
+
+
+def test_articles_within_a_side_part_are_side():
+    page = """<body><article><p>said</p><div class="comments"><div>top</div><article><p>first</p></article><article>second</article>end</div>still</article>
+    <aside><article>teaser</article></aside><p>loose<nav>menu<article>own</article></body>"""
+    got = [(b.zone, b.text) for b in htmltext.blocks(page)]
+    assert got == [("article", "said"), ("side", "top"), ("side", "first"), ("side", "second"), ("side", "end"), ("article", "still"), ("side", "teaser"), ("body", "loose"), ("side", "menu"), ("article", "own")]
