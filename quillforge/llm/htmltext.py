@@ -8,9 +8,10 @@ from ``body`` blocks, of which the unique runs stay; ``side`` blocks go whole. W
 where pages share a passage: only its own side parts go. The text of a page is its article blocks and the unique runs of
 its body blocks, in page order.
 
-A suffix array over a host's pages is made in one task, so a host is dealt into buckets of at most about BUCKET_CHARS
-characters by a hash of the page; a substring counts as repeated if two pages of a bucket share it. Menus and notices
-stand on most pages of a host, hence in every bucket; a run on just two pages of a host of many buckets may be missed.
+A suffix array over a host's pages is made in one task, so it serves hosts of at most BUCKET_CHARS characters of html. Of
+a greater host the same runs are found by a 64-bit hash of each MIN_RUN tokens, dealt by the hash into as many parts as the host
+has BUCKET_CHARS: a part has every page's runs of its hashes, and those of two distinct pages go back to their pages by a join.
+Both ways give the same result.
 
 Defined results: a null or empty html gives an empty text; a null url is a host of its own; equal rows get one result
 each, and equal pages do not count as distinct; an empty table gives no rows. Pages are taken whole.
@@ -28,9 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .urlfilter import host_and_path
+from .base import Scratch
+from .neardup import _hashes, _mix
 
 MIN_RUN, BUCKET_CHARS = 8, 4_000_000
+_U = np.uint64
+_RUNS = pa.schema([("_h", pa.string()), ("part", pa.int64()), ("runs", pa.binary()), ("pages", pa.binary())])
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
 _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp")}
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -209,26 +213,98 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
     return out
 
 
+def run_hashes(texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarray]:
+    """A 32-bit hash of a page's tokens, and a 64-bit one of each ``min_run`` tokens of this host's page in order. Pages of one hash get each
+    other's repeated runs, which does no harm: what repeats, repeats on the whole host."""
+    words = " ".join(texts).encode("utf-8", "surrogatepass").split(b" ") if texts else []
+    h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
+    own = _U(xxhash.xxh3_64_intdigest(host.encode()))
+    out, length = _mix(h + own), 1
+    while length < min_run and len(out):
+        step = min(length, min_run - length)
+        out = _mix(_mix(out[: max(0, len(out) - step)]) + out[step:])
+        length += step
+    return (xxhash.xxh3_64_intdigest(h.tobytes()) >> 32) - (1 << 31), out.view(np.int64)
+
+
 def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """page_id, url, text, n_chars and n_repeated for each row of ``pages`` (page_id, url, html)."""
+    scratch = Scratch(pages.sparkSession)
+    result = "page_id long, url string, text string, n_chars long, n_repeated long"
 
-    def cut(batches):
+    def parts(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                found = [blocks(h.as_py()) for h in part.column(2)]
-                hosts = [host_and_path(u)[0] for u in part.column(1).to_pylist()]
-                texts = [[x.text for x in p] for p in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(hosts), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array(texts, pa.list_(pa.string())), pa.array([sum(map(len, t)) for t in texts], pa.int64())], names=["page_id", "url", "host", "zones", "texts", "size"])
+                yield part, [blocks(h.as_py()) for h in part.column(2)]
+
+    def cut(batches):
+        for part, found in parts(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array([[x.text for x in p] for p in found], pa.list_(pa.string()))], names=["page_id", "url", "_h", "zones", "texts"])
+
+    def hashed(batches):
+        for part, found in parts(batches):
+            of_host: dict[tuple[str, int], list[tuple[int, np.ndarray]]] = {}
+            for p, h, n in zip(found, part.column(3).to_pylist(), part.column(4).to_pylist()):
+                of_host.setdefault((h, n), []).append(run_hashes([x.text for x in p], h, min_run))
+            rows = []
+            for (h, n), each in of_host.items():
+                runs = [np.unique(r) for _, r in each]
+                page = np.repeat(np.array([p for p, _ in each], "<i4"), [len(r) for r in runs])
+                run = np.concatenate(runs)
+                to = run % n
+                order = np.argsort(to, kind="stable")
+                cuts = np.flatnonzero(np.diff(to[order])) + 1
+                rows += [(h, int(to[k[0]]), run[k].astype("<i8").tobytes(), page[k].tobytes()) for k in np.split(order, cuts) if len(k)]
+            yield pa.RecordBatch.from_pylist([dict(zip(_RUNS.names, r)) for r in rows], schema=_RUNS)
+
+    def shared(group: pa.Table) -> pa.Table:
+        run, page = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("runs", "<i8"), ("pages", "<i4")))
+        order = np.lexsort((page, run))
+        run, page = run[order], page[order]
+        starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        sizes = np.diff(np.r_[starts, len(run)])
+        hit = np.repeat(page[starts] != page[starts + sizes - 1], sizes)
+        run, page = run[hit], page[hit]
+        order = np.argsort(page, kind="stable")
+        ends = np.split(order, np.flatnonzero(np.diff(page[order])) + 1)
+        rows = [(int(page[k[0]]), np.unique(run[k]).tobytes()) for k in ends if len(k)]
+        return pa.table([pa.array([group["_h"][0].as_py()] * len(rows), pa.string()), pa.array([p for p, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], names=["_h", "page", "runs"])
+
+    def named(batches):
+        for part, found in parts(batches):
+            keys = [run_hashes([x.text for x in p], h, min_run)[0] for p, h in zip(found, part.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(keys, pa.int32()), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array([[x.text for x in p] for p in found], pa.list_(pa.string()))], names=["page_id", "url", "_h", "page", "zones", "texts"])
+
+    def finish(batches):
+        for b in batches:
+            out = []
+            for h, zones, texts, many in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5)):
+                runs = run_hashes(texts, h, min_run)[1]
+                hit = np.isin(runs, np.frombuffer(b"".join(many.as_py() or []), "<i8"))
+                n = sum(t.count(" ") + 1 for t in texts)
+                edge = np.zeros(n + min_run + 1, np.int64)
+                at = np.flatnonzero(hit)
+                edge[at] += 1
+                edge[at + min_run] -= 1
+                covered = np.cumsum(edge)[:n] > 0
+                out.append((main_text(zones, texts, covered, min_run), int(covered.sum())))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t for t, _ in out], pa.string()), pa.array([len(t) for t, _ in out], pa.int64()), pa.array([n for _, n in out], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_repeated"])
 
     def per_host(group: pa.Table) -> pa.Table:
         found = host_texts(list(zip(group["zones"].to_pylist(), group["texts"].to_pylist())), min_run)
         return pa.table([group["page_id"], group["url"], pa.array([t for t, _ in found], pa.string()), pa.array([len(t) for t, _ in found], pa.int64()), pa.array([n for _, n in found], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_repeated"])
 
-    source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    # Buckets by the size of a host's html, known from a pass over the lengths alone.
     host = F.coalesce(F.lower(F.regexp_extract("url", "(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
-    sized = source.select(host.alias("_h"), F.coalesce(F.length("html"), F.lit(0)).alias("_n")).groupBy("_h").agg(F.ceil(F.sum("_n") / bucket_chars).alias("_buckets"))
-    cut_up = source.mapInArrow(cut, "page_id long, url string, host string, zones array<string>, texts array<string>, size long")
-    dealt = cut_up.withColumn("_h", host).join(sized, "_h").withColumn("_b", F.pmod(F.xxhash64("page_id", "url"), F.greatest(F.col("_buckets"), F.lit(1))))
-    return dealt.groupBy("_h", "_b").applyInArrow(per_host, "page_id long, url string, text string, n_chars long, n_repeated long")
+    source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("_h"))
+    # Great hosts, by a pass over the lengths alone: no more than all characters by BUCKET_CHARS.
+    great = scratch.save(source.groupBy("_h").agg(F.ceil(F.sum(F.coalesce(F.length("html"), F.lit(0))) / bucket_chars).alias("n")).where("n > 1"), "great")
+    few = source.join(F.broadcast(great), "_h", "left_anti").select("page_id", "url", "html", "_h")
+    whole = few.mapInArrow(cut, "page_id long, url string, _h string, zones array<string>, texts array<string>").groupBy("_h").applyInArrow(per_host, result)
+    if not great.take(1):
+        return whole
+    many = source.join(F.broadcast(great), "_h").select("page_id", "url", "html", "_h", "n")
+    runs = many.mapInArrow(hashed, "_h string, part long, runs binary, pages binary")
+    found = scratch.save(runs.groupBy("_h", "part").applyInArrow(shared, "_h string, page int, runs binary").groupBy("_h", "page").agg(F.collect_list("runs").alias("runs")), "runs")
+    cut_up = many.mapInArrow(named, "page_id long, url string, _h string, page int, zones array<string>, texts array<string>")
+    return whole.unionAll(cut_up.join(found, ["_h", "page"], "left").select("page_id", "url", "_h", "zones", "texts", "runs").mapInArrow(finish, result))

@@ -109,3 +109,16 @@ def test_articles_within_a_side_part_are_side():
     <aside><article>teaser</article></aside><p>loose<nav>menu<article>own</article></body>"""
     got = [(b.zone, b.text) for b in htmltext.blocks(page)]
     assert got == [("article", "said"), ("side", "top"), ("side", "first"), ("side", "second"), ("side", "end"), ("article", "still"), ("side", "teaser"), ("body", "loose"), ("side", "menu"), ("article", "own")]
+
+
+def test_a_great_host_gives_what_one_suffix_array_gives(spark):
+    rng = random.Random(7)
+    pool = [" ".join(f"n{k}w{i}" for i in range(rng.randrange(6, 15))) for k in range(30)]  # each on some pages only
+    rows = []
+    for i in range(120):
+        body = "".join(f"<p>{rng.choice(pool)}</p>" if rng.random() < 0.4 else f"<p>{' '.join(f'é{i}x{rng.randrange(50)}' for _ in range(9))}</p>" for _ in range(4))
+        rows.append((i, "http://h.net/x" if i % 3 else "http://g.net/", f"<body>{body}" + ("<article><p>said</article>" if i % 5 == 0 else ""), "t"))
+    rows += [(200, *rows[0][1:]), rows[1], (300, None, None, "t"), (301, None, "", "t"), (302, None, "<p>two words", "t"), (303, "http://h.net/x", "", "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    whole, dealt, some = (sorted(map(tuple, htmltext.extract_text(pages, bucket_chars=n).collect()), key=str) for n in (10**9, 500, 13_000))
+    assert whole == dealt == some and len(whole) == len(rows)
