@@ -6,14 +6,15 @@ sequence crosses documents. Batches are made within a bucket of equal lengths.
 
 Defined results: a null text counts as empty, and an empty one is the end id alone, a piece of length 1; equal
 rows get equal pieces with sequences of their own; an empty table gives no pieces. Long texts are taken whole,
-one at a time, so memory is bounded by one batch and the longest text. The ids are those of the tokenizer file;
-text that looks like a special token is ordinary text.
+one at a time, so memory is bounded by one batch and the longest text. The ids are those of the tokenizer file
+as it is: the literal of its added token, <|endoftext|>, is that token.
 """
 
 from __future__ import annotations
 
 import base64
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from .base import slices
 
 MAX_TOKENS, END_ID = 2048, 1
+ADDED = {"<|endoftext|>": 50256}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _encoders: dict[tuple[str, str], object] = {}
 
@@ -41,7 +43,9 @@ def encoder(vocabulary: tuple[str, str]):
 
         with open(vocabulary[0], "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        _encoders[vocabulary] = tiktoken.Encoding("packing", pat_str=vocabulary[1], mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        added = ADDED if vocabulary == public_vocabulary() else {}
+        encoding = tiktoken.Encoding("packing", pat_str=vocabulary[1], mergeable_ranks=ranks, special_tokens=added)
+        _encoders[vocabulary] = partial(encoding.encode, allowed_special="all")
     return _encoders[vocabulary]
 
 

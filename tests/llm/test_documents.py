@@ -132,6 +132,17 @@ def test_packing_is_lossless(awkward, nothing):
         packing.pack_power_of_two(awkward, max_tokens=1000)
 
 
+def test_ids_are_the_tokenizers_own(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext|", "<|endofprompt|> <s>", "é😀 \ud7ff<|endoftext|>  "]
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id", "start").collect()
+    got = {i: sum((list(r.ids) for r in rows if r.doc_id == i), []) for i in range(len(texts))}
+    assert got == {i: t.encode(x, add_special_tokens=False).ids + [1] for i, x in enumerate(texts)} and 50256 in got[0]
+
+
 # Secrets --------------------------------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
