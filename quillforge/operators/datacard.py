@@ -42,9 +42,10 @@ def taxonomy(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def build_card(name: str, statistics: DataFrame, tags: DataFrame, provenance: dict | None = None, max_tags: int = 1000) -> dict:
-    """The card as a document: the one row of statistics, tags, hashes of where the data come from, and its sections."""
+    """The card as a document: the one row of statistics, tags, hashes of where the data come from, and its sections. Of more than
+    ``max_tags`` tags the first are listed; ``n_tags`` counts all, and ``write_card`` can put all beside the card."""
     stats = statistics.first().asDict()
-    body = {"name": name, "statistics": stats, "taxonomy": [r["tag"] for r in tags.limit(max_tags).collect()], "provenance": provenance or {}}
+    body = {"name": name, "statistics": stats, "taxonomy": [r["tag"] for r in tags.limit(max_tags).collect()], "n_tags": tags.count(), "provenance": provenance or {}}
     body["sections"] = {
         "motivation": f"{name} gathers curated traces for training and evaluation.",
         "composition": f"{stats['n_records']} records with {stats['prompt_tokens_total']} prompt and {stats['reasoning_tokens_total']} reasoning tokens.",
@@ -59,13 +60,20 @@ def build_card(name: str, statistics: DataFrame, tags: DataFrame, provenance: di
 
 def render_markdown(card: dict) -> str:
     lines = [f"# {card['name']}", "", "| Measure | Value |", "|---|---|", *(f"| {k} | {v} |" for k, v in card["statistics"].items()), "", "## Taxonomy", "", *(f"- {t}" for t in card["taxonomy"]), ""]
+    if len(card["taxonomy"]) < card["n_tags"]:
+        lines += [f"The first {len(card['taxonomy'])} of {card['n_tags']} tags.", ""]
     for title, text in card["sections"].items():
         lines += [f"## {title.capitalize()}", "", text, ""]
     return "\n".join([*lines, "## Provenance", "", *(f"- {k}: `{v}`" for k, v in card["provenance"].items())]) + "\n"
 
 
-def write_card(card: dict, folder: str) -> None:
-    """datacard.json and datacard.md, by the driver: a card is a page long, whatever the data."""
+def write_card(card: dict, folder: str, tags: DataFrame | None = None, table: str | None = None) -> None:
+    """datacard.json and datacard.md, by the driver: a card is a page long, whatever the data. All ``tags`` go to ``table``, a path of Spark's;
+    a card that lists only some is not written without."""
+    if tags is not None and table is not None:
+        tags.write.mode("overwrite").parquet(table)
+    elif len(card["taxonomy"]) < card["n_tags"]:
+        raise ValueError("the card lists only some of its tags: name the tags and a table for all")
     Path(folder).mkdir(parents=True, exist_ok=True)
     Path(folder, "datacard.json").write_text(json.dumps(card, sort_keys=True, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
     Path(folder, "datacard.md").write_text(render_markdown(card), encoding="utf-8")

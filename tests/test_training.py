@@ -86,6 +86,17 @@ def test_card(spark, tmp_path):
     assert card["taxonomy"] == ["topic:x"] and "## Uses" in (tmp_path / "datacard.md").read_text()
 
 
+def test_card_says_where_its_taxonomy_is_cut(spark, tmp_path):
+    turns = spark.createDataFrame([(1, "user", "a b c")], "conv_id long, role string, text string")
+    tags = D.taxonomy(spark.createDataFrame([(f"x{i}",) for i in range(1200)], "t string"), topic="t")
+    card = D.build_card("demo", D.token_statistics(D.record_counts(turns)), tags)
+    assert len(card["taxonomy"]) == 1000 and card["n_tags"] == 1200
+    with pytest.raises(ValueError):
+        D.write_card(card, str(tmp_path))
+    D.write_card(card, str(tmp_path), tags, f"{tmp_path}/tags")
+    assert spark.read.parquet(f"{tmp_path}/tags").count() == 1200 and "The first 1000 of 1200 tags." in (tmp_path / "datacard.md").read_text()
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_round_trip_and_tampering(spark, tmp_path, compression):
     df = spark.createDataFrame([(1, "a\nb"), (2, None)], "id long, t string")
