@@ -214,8 +214,7 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
 
 
 def run_hashes(texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarray]:
-    """A 32-bit hash of a page's tokens, and a 64-bit one of each ``min_run`` tokens of this host's page in order. Pages of one hash get each
-    other's repeated runs, which does no harm: what repeats, repeats on the whole host."""
+    """64-bit hashes: of a page's tokens, and of each ``min_run`` tokens of it in order on this host."""
     words = " ".join(texts).encode("utf-8", "surrogatepass").split(b" ") if texts else []
     h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
     own = _U(xxhash.xxh3_64_intdigest(host.encode()))
@@ -224,7 +223,7 @@ def run_hashes(texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarr
         step = min(length, min_run - length)
         out = _mix(_mix(out[: max(0, len(out) - step)]) + out[step:])
         length += step
-    return (xxhash.xxh3_64_intdigest(h.tobytes()) >> 32) - (1 << 31), out.view(np.int64)
+    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), out.view(np.int64)
 
 
 def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
@@ -250,7 +249,7 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
             rows = []
             for (h, n), each in of_host.items():
                 runs = [np.unique(r) for _, r in each]
-                page = np.repeat(np.array([p for p, _ in each], "<i4"), [len(r) for r in runs])
+                page = np.repeat(np.array([p for p, _ in each], "<i8"), [len(r) for r in runs])
                 run = np.concatenate(runs)
                 to = run % n
                 order = np.argsort(to, kind="stable")
@@ -259,7 +258,7 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
             yield pa.RecordBatch.from_pylist([dict(zip(_RUNS.names, r)) for r in rows], schema=_RUNS)
 
     def shared(group: pa.Table) -> pa.Table:
-        run, page = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("runs", "<i8"), ("pages", "<i4")))
+        run, page = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("runs", "<i8"), ("pages", "<i8")))
         order = np.lexsort((page, run))
         run, page = run[order], page[order]
         starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
@@ -269,12 +268,12 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
         order = np.argsort(page, kind="stable")
         ends = np.split(order, np.flatnonzero(np.diff(page[order])) + 1)
         rows = [(int(page[k[0]]), np.unique(run[k]).tobytes()) for k in ends if len(k)]
-        return pa.table([pa.array([group["_h"][0].as_py()] * len(rows), pa.string()), pa.array([p for p, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], names=["_h", "page", "runs"])
+        return pa.table([pa.array([group["_h"][0].as_py()] * len(rows), pa.string()), pa.array([p for p, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.binary())], names=["_h", "page", "runs"])
 
     def named(batches):
         for part, found in parts(batches):
             keys = [run_hashes([x.text for x in p], h, min_run)[0] for p, h in zip(found, part.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(keys, pa.int32()), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array([[x.text for x in p] for p in found], pa.list_(pa.string()))], names=["page_id", "url", "_h", "page", "zones", "texts"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(keys, pa.int64()), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array([[x.text for x in p] for p in found], pa.list_(pa.string()))], names=["page_id", "url", "_h", "page", "zones", "texts"])
 
     def finish(batches):
         for b in batches:
@@ -305,6 +304,6 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
         return whole
     many = source.join(F.broadcast(great), "_h").select("page_id", "url", "html", "_h", "n")
     runs = many.mapInArrow(hashed, "_h string, part long, runs binary, pages binary")
-    found = scratch.save(runs.groupBy("_h", "part").applyInArrow(shared, "_h string, page int, runs binary").groupBy("_h", "page").agg(F.collect_list("runs").alias("runs")), "runs")
-    cut_up = many.mapInArrow(named, "page_id long, url string, _h string, page int, zones array<string>, texts array<string>")
+    found = scratch.save(runs.groupBy("_h", "part").applyInArrow(shared, "_h string, page long, runs binary").groupBy("_h", "page").agg(F.collect_list("runs").alias("runs")), "runs")
+    cut_up = many.mapInArrow(named, "page_id long, url string, _h string, page long, zones array<string>, texts array<string>")
     return whole.unionAll(cut_up.join(found, ["_h", "page"], "left").select("page_id", "url", "_h", "zones", "texts", "runs").mapInArrow(finish, result))
