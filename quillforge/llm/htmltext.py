@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Scratch
-from .neardup import _hashes, _mix
+from .words import mix, word_hashes
 
 MIN_RUN, BUCKET_CHARS = 8, 4_000_000
 _U = np.uint64
@@ -215,13 +215,12 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
 
 def run_hashes(texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarray]:
     """64-bit hashes: of a page's tokens, and of each ``min_run`` tokens of it in order on this host."""
-    words = " ".join(texts).encode("utf-8", "surrogatepass").split(b" ") if texts else []
-    h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
+    h, _ = word_hashes([" ".join(texts).encode("utf-8", "surrogatepass")], fold=False)
     own = _U(xxhash.xxh3_64_intdigest(host.encode()))
-    out, length = _mix(h + own), 1
+    out, length = mix(h + own), 1
     while length < min_run and len(out):
         step = min(length, min_run - length)
-        out = _mix(_mix(out[: max(0, len(out) - step)]) + out[step:])
+        out = mix(mix(out[: max(0, len(out) - step)]) + out[step:])
         length += step
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), out.view(np.int64)
 

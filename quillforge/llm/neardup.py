@@ -20,6 +20,8 @@ table gives no rows. Texts are taken whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Scratch, as_struct, slices, text_key
+from .words import mix, word_hashes
 
 K, M = 3, 10
 #: Classes a block holds at about most, those that are held against them, shingles of a block, and matrix columns at a time.
@@ -34,41 +37,22 @@ BLOCK, QUERIES, BLOCK_SHINGLES, COLUMNS = 1024, 256, 500_000, 4096
 _U = np.uint64
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept as long as they are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 17:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
-
-def shingles(raw: bytes | None, width: int) -> np.ndarray:
-    """Hashes of the distinct shingles of ``width`` words, sorted; of fewer words, one of the whole sequence."""
-    words = (raw or b"").translate(_FOLD).split()
-    if not words:
-        return np.zeros(0, _U)
-    h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
-    if len(h) < width:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], _U)
+def sets(texts: Iterable[bytes | None], width: int) -> list[np.ndarray]:
+    """For each text the hashes of its distinct shingles of ``width`` words, sorted; of fewer words, one of the whole sequence; of none, none."""
+    h, counts = word_hashes(texts)
     n = len(h) - width + 1
-    out = h[:n].copy()
-    for i in range(1, width):
-        out = _mix(out) + h[i : i + n]
-    return np.unique(_mix(out))
+    rolled = h[: max(n, 0)].copy()
+    for i in range(1, width if n > 0 else 0):
+        rolled = mix(rolled) + h[i : i + n]
+    rolled = mix(rolled)
+    out, at = [], 0
+    for c in counts.tolist():
+        if c >= width:
+            out.append(np.unique(rolled[at : at + c - width + 1]))
+        else:
+            out.append(np.array([xxhash.xxh3_64_intdigest(h[at : at + c].tobytes(), seed=1)], _U) if c else np.zeros(0, _U))
+        at += c
+    return out
 
 
 def _family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,8 +79,7 @@ def sign(docs: DataFrame, width: int, seed: int = 11) -> DataFrame:
     def rows(batches):
         for b in slices(batches):
             cls, n, halves, known = [], [], [], {}
-            for v in b.column(3).cast(pa.large_binary()):
-                s = shingles(v.as_py(), width)
+            for s in sets((v.as_py() for v in b.column(3).cast(pa.large_binary())), width):
                 n.append(len(s))
                 if not len(s):
                     cls.append(None)
@@ -105,7 +88,7 @@ def sign(docs: DataFrame, width: int, seed: int = 11) -> DataFrame:
                 key = xxhash.xxh3_128_digest(s.tobytes())
                 if key not in known:
                     m = minhashes(s, *family)
-                    h = _mix(_mix(_mix(m[0::K] + _U(1)) + m[1::K]) + m[2::K] + np.arange(2 * M, dtype=_U))
+                    h = mix(mix(mix(m[0::K] + _U(1)) + m[1::K]) + m[2::K] + np.arange(2 * M, dtype=_U))
                     known[key] = h.view(np.int64)
                 cls.append(key)
                 halves.append(known[key])
@@ -134,12 +117,12 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     def check(batches):
         last = (None, None)
         for b in slices(batches):
-            keep = []
+            keep, own = [], sets((t.as_py().encode() for t in b.column(2)), width)
             for i in range(b.num_rows):
                 y = b.column(1)[i].as_py()
                 if last[0] != y:
-                    last = (y, shingles(b.column(3)[i].as_py().encode(), width))
-                s, t = shingles(b.column(2)[i].as_py().encode(), width), last[1]
+                    last = (y, sets([b.column(3)[i].as_py().encode()], width)[0])
+                s, t = own[i], last[1]
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             ok = pa.array(keep, pa.bool_())
@@ -151,14 +134,14 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 def block_links(group: pa.Table, width: int, percent: int) -> pa.Table:
     """Links that join components, between the queries and the members of a block (cls, root, query, text)."""
     cls, root, query = group["cls"].to_pylist(), group["root"].to_pylist(), np.array(group["query"].to_pylist())
-    sets = [shingles(t.as_py().encode(), width) for t in group["text"]]
-    sizes, q, m = np.array([len(x) for x in sets]), np.flatnonzero(query), np.flatnonzero(~query)
-    owner, token = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    found = sets((t.as_py().encode() for t in group["text"]), width)
+    sizes, q, m = np.array([len(x) for x in found]), np.flatnonzero(query), np.flatnonzero(~query)
+    owner, token = np.repeat(np.arange(len(found)), sizes), np.concatenate(found)
     column = np.unique(token, return_inverse=True)[1]
     both = np.bincount(column[query[owner]], minlength=column.max() + 1).astype(bool) & np.bincount(column[~query[owner]], minlength=column.max() + 1).astype(bool)
     place = np.cumsum(both) - 1
     owner, column = owner[both[column]], place[column[both[column]]]
-    row = np.zeros(len(sets), np.int64)
+    row = np.zeros(len(found), np.int64)
     row[q], row[m] = np.arange(len(q)), np.arange(len(m))
     common = np.zeros((len(q), len(m)), np.float32)
     for lo in range(0, int(both.sum()), COLUMNS):

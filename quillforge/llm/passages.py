@@ -2,21 +2,25 @@
 
 A text is its sequence of shingles of ``width`` words. For a hash function, a compact window (l, c, r) stands for all
 subsequences that start in l..c, end in c..r and so have the shingle at c as their minimum: the nodes of the Cartesian tree
-over the hashes. Only nodes that span ``min_words`` words or more are made; the parent of such a node is one too, so
+over the hashes. Only nodes that span ``least_run`` shingles or more are made; the parent of such a node is one too, so
 the tree over the positions that are the minimum of some stretch of that length has them all, and both ends of their spans.
+``least_run`` is what makes one function enough: a stretch of ``min_words`` words or more that is as similar as asked after words were
+changed, put in or left out has a run of that many equal shingles, 21 with the defaults, and equal runs share their minimum.
 
-Windows of one minimum in two documents are candidates. None is expanded into pairs: each is held against a window of the
-least and of the greatest document that share the minimum. Up to three windows of a minimum all meet that way. Where there are more,
-the two may have the minimum in another context, a common line say; so every stretch of ``min_words`` words around such a minimum is
-hashed whole, and held against the least and the greatest document of that stretch, which hold all of it. That makes a row for each
-place at most, for one hash function. A document's windows that meet one partner near one diagonal, no further apart than
-REACH, are joined into one interval, and each interval, with REACH shingles on either side, is verified on the shingles themselves:
-the longest stretch around an anchor of which as large a part as the similarity asks for occurs in the partner near the
-diagonal, then the Jaccard similarity of both stretches. Stretches of ``min_words`` equal words share every minimum and their own
-hash, so none is missed; at similarity s all of H functions miss one with probability (1 - s) ^ H in each stretch of ``min_words`` words,
-0.04 for a stretch at the least similarity and the defaults, 0.01 at 0.9. Beyond that a stretch that is similar but nowhere equal over
-``min_words`` words is missed if four windows or more share each minimum it has in common with its partner and neither the least nor the
-greatest document of them is similar there.
+Windows of one minimum are candidates. None is expanded into pairs: each is held against one, the hub, of the least document.
+How far both agree to the left and right of the minimum, within the window, tells what is left to find: two windows that agree with each
+other beyond what they share with the hub part from it at the same place, and go on with the same shingle. So of each side a window goes to
+the next round under a key of its old key, that place and that shingle, and the windows of a key have a hub of their own there. Keys of one document
+end. Rounds go on until no key is left; in each the agreement grows, so there are at most some tens, and few in practice. Thus every
+stretch of ``min_words`` words that occurs in a lesser document is held against one that has all of it. A stretch that is similar but not equal is missed
+only where each run of ``least_run`` shingles that it shares with its partner is also in a lesser document that is not similar there.
+
+A document's windows that meet one partner are joined by intervals: where their spans lie no further apart than REACH and near one
+diagonal. Each interval, with REACH shingles on either side, is verified on the shingles themselves: the longest stretch around an anchor of
+which as large a part as the similarity asks for occurs in the partner near the diagonal, then the Jaccard similarity of both stretches.
+
+Keys with more than 1 / HOT of all windows are fewer than HOT: they are joined by a broadcast of so many rows, and a hub with more than
+that share of all pairs is dealt over SALTS copies of its row. So no task gets a hot key whole.
 
 Defined results: a null or empty text has no passages; of rows equal in id and text each gets the same result, and they
 are no partners of each other; a null id (as the greatest 64-bit number) ranks after all others and, as a partner, is null; texts under ``min_words`` words
@@ -27,29 +31,28 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Scratch, slices
-from .neardup import _FOLD, _hashes, _mix
+from .words import mix, sequences
 
-WIDTH, MIN_WORDS, PERCENT, HASHES, REACH, STEP = 5, 50, 80, 2, 64, 16
+WIDTH, MIN_WORDS, PERCENT, HASHES, REACH = 5, 50, 80, 1, 64
+#: Shares that make a key hot, copies of a hot hub's row, and ids that are broadcast at most (16 bytes each) to read only the texts of a small round.
+HOT, SALTS, FEW = 1000, 32, 500_000
 NO_ID = (1 << 63) - 1
 _U = np.uint64
+_PLACES = np.dtype([("c", "<i4"), ("d", "<i4"), ("left", "<i2"), ("right", "<i2"), ("more", "?"), ("key", "<i8")])
 
 
-def sequence(raw: bytes | None, width: int) -> np.ndarray:
-    """Hashes of the shingles of a text in order; empty if it has fewer words than one."""
-    words = (raw or b"").translate(_FOLD).split()
-    n = len(words) - width + 1
-    if n < 1:
-        return np.zeros(0, _U)
-    h = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
-    out = h[:n].copy()
-    for i in range(1, width):
-        out = _mix(out) + h[i : i + n]
-    return _mix(out)
+def least_run(width: int, min_words: int, percent: int) -> int:
+    """The least length, in shingles, of the longest run of equal ones in stretches of ``min_words`` words or more that k single words set apart
+    and that are still as similar as asked: k words take ``width`` * k shingles of each, and leave k + 1 runs."""
+    n = min_words - width + 1
+    if percent >= 100:
+        return n
+    least = lambda k: max(n, -(-width * k * (100 + percent) // (100 - percent)))
+    return max(1, min(-(-(least(k) - width * k) // (k + 1)) for k in range(n + 1)))
 
 
 def _least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.uint64]:
@@ -64,16 +67,6 @@ def _least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.uint64]:
     return least, _U((1 << int(bits)) - 1)
 
 
-def stretches(x: np.ndarray, span: int) -> np.ndarray:
-    """A hash of each ``span`` shingles that follow one another."""
-    out, length = x, 1
-    while length < span:
-        step = min(length, span - length)
-        out = _mix(_mix(out[: len(out) - step]) + out[step:])
-        length += step
-    return out
-
-
 def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
     """The Cartesian tree's nodes (l, c, r) over ``values`` with r - l + 1 >= span; of equal values the first is the least."""
     n = len(values)
@@ -102,27 +95,28 @@ def _seeds(hashes: int, seed: int = 23) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, hashes, _U)
 
 
-def windows(docs: DataFrame, width: int, min_words: int, hashes: int) -> DataFrame:
-    """(id, th, key, c): the compact windows' minima of every document, with a key of hash function and minimum."""
-    seeds = _seeds(hashes)
-    span = min_words - width + 1
+def windows(docs: DataFrame, width: int, min_words: int, percent: int, hashes: int) -> DataFrame:
+    """(id, th, key, c, left, right): the compact windows of every document, with a key of hash function and minimum, and how far each reaches
+    beside its minimum, up to what a stretch of ``min_words`` words can."""
+    seeds, most = _seeds(hashes), min_words - width
+    run = least_run(width, min_words, percent)
 
     def rows(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part, doc, key, places = b.slice(lo, 256), [], [], []
-                for i, v in enumerate(part.column(2).cast(pa.large_binary())):
-                    s = sequence(v.as_py(), width)
-                    for seed in seeds if len(s) >= span else ():
-                        c = np.array([w[1] for w in compact_windows(_mix(s ^ seed), span)], np.int32)
-                        doc.append(np.full(len(c), i))
-                        key.append(_mix(s[c] + seed))
-                        places.append(c)
-                at = pa.array(np.concatenate(doc)) if doc else pa.array([], pa.int64())
-                k = np.concatenate(key).view(np.int64) if key else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(k), pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))], names=["id", "th", "key", "c"])
-
-    return _named(docs).mapInArrow(rows, "id long, th long, key long, c int")
+        for b in slices(batches, 64):
+            doc, key, found = [], [], []
+            for i, s in enumerate(sequences((v.as_py() for v in b.column(2).cast(pa.large_binary())), width)):
+                for seed in seeds if len(s) > most else ():
+                    w = np.array(compact_windows(mix(s ^ seed), run), np.int64)
+                    doc.append(np.full(len(w), i))
+                    key.append(mix(s[w[:, 1]] + seed))
+                    found.append(w)
+            at = pa.array(np.concatenate(doc)) if doc else pa.array([], pa.int64())
+            k = np.concatenate(key).view(np.int64) if key else np.zeros(0, np.int64)
+            l, c, r = np.concatenate(found).T if found else np.zeros((3, 0), np.int64)
+            reach = (np.minimum(d, most).astype(np.int16) for d in (c - l, r - c))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(k), pa.array(c.astype(np.int32)), *map(pa.array, reach)], names=["id", "th", "key", "c", "left", "right"])
+
+    return _named(docs).mapInArrow(rows, "id long, th long, key long, c int, left short, right short")
 
 
 def _stretch(hit: np.ndarray, anchor: int, percent: int) -> tuple[int, int]:
@@ -148,15 +142,49 @@ def _run(hit: np.ndarray, at: np.ndarray, anchor: int) -> tuple[int, int]:
     return int(broken[k - 1]) + 1 if k else 0, int(broken[k]) if k < len(broken) else len(hit) - 1
 
 
-def intervals(anchors: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Anchors (c, d) of one pair of documents, joined where they follow one another within REACH on a diagonal that drifts less than that."""
-    out: list[list[tuple[int, int]]] = []
-    for c, d in sorted(set(anchors)):
-        near = next((k for k in reversed(out[-8:]) if c - k[-1][0] <= REACH and abs((c - d) - (k[-1][0] - k[-1][1])) <= REACH // 4), None)
-        if near is None:
-            out.append([(c, d)])
-        else:
-            near.append((c, d))
+def intervals(places: np.ndarray) -> list[np.ndarray]:
+    """Windows of one pair of documents (_PLACES), joined where their spans lie within REACH and their diagonals drift less than a fourth of it."""
+    places = np.unique(places)
+    shift = places["d"] - places["c"]
+    starts, ends = places["c"] - places["left"], places["c"] + places["right"]
+    if (shift == shift[0]).all() and (starts[1:] <= np.maximum.accumulate(ends)[:-1] + REACH).all():
+        return [places]
+    drift, out, last = REACH // 4, [], {}
+    for i, (k, lo, hi) in enumerate(zip(shift.tolist(), starts.tolist(), ends.tolist())):
+        at = k // drift
+        near = [n for n in (last.get(at), last.get(at - 1), last.get(at + 1)) if n is not None and lo <= n[1] + REACH and abs(k - n[2]) <= drift]
+        own = max(near, key=lambda n: n[1]) if near else [[], hi, k]
+        if not near:
+            out.append(own)
+        own[0].append(i)
+        own[1], own[2] = max(own[1], hi), k
+        last[at] = own
+    return [places[n[0]] for n in out]
+
+
+def agreement(x: np.ndarray, y: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles before and after each place x and y agree, up to where either ends."""
+    before, after = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    shift = places["d"] - places["c"]
+    for k in np.unique(shift).tolist():
+        of = np.flatnonzero(shift == k)
+        lo, hi = max(0, -k), min(len(x), len(y) - k)
+        c, breaks = places["c"][of], np.flatnonzero(x[lo:hi] != y[lo + k : hi + k]) + lo
+        at = np.searchsorted(breaks, c)
+        breaks = np.concatenate([[lo - 1], breaks, [hi]])
+        before[of], after[of] = c - breaks[at] - 1, breaks[at + 1] - c - 1
+    return before, after
+
+
+def left_over(x: np.ndarray, y: np.ndarray, places: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each side, the places whose window goes on where x and y part, and their keys in the next round."""
+    before, after = agreement(x, y, places)
+    key = places["key"].view(_U)
+    out = []
+    for side, n, most, at in ((0, before, places["left"], places["c"] - before - 1), (1, after, places["right"], places["c"] + after + 1)):
+        on = np.flatnonzero(places["more"] & (n < most))
+        on = on[(at[on] >= 0) & (at[on] < len(x))]
+        out.append((places[on], mix(key[on] + mix((x[at[on]].astype(_U) << _U(8)) + n[on].astype(_U) * _U(2) + _U(side))).view(np.int64)))
     return out
 
 
@@ -170,21 +198,25 @@ def _similar(x: np.ndarray, y: np.ndarray, hits: int, percent: int) -> bool:
 
 
 def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]] | None:
-    """``align`` where all anchors lie on one diagonal and one stretch along it holds them all; else None."""
+    """``align`` where all anchors lie on one diagonal, one stretch along it holds them all and nothing beside it occurs in y; else None."""
     c, shift = anchors[0][0], anchors[0][1] - anchors[0][0]
     if any(d - k != shift for k, d in anchors):
         return None
     lo, hi = max(0, -shift), min(len(x), len(y) - shift)
     equal = x[lo:hi] == y[lo + shift : hi + shift]
-    if equal.all():
-        i, j = 0, hi - lo - 1
-    elif equal[c - lo]:
-        i, j = _stretch(equal, c - lo, percent)
-    else:
+    if not equal[c - lo]:
         return None
+    breaks = np.flatnonzero(~equal)
+    k = int(np.searchsorted(breaks, c - lo))
+    i, j = int(breaks[k - 1]) + 1 if k else 0, int(breaks[k]) - 1 if k < len(breaks) else hi - lo - 1
+    if j - i + 1 + len(breaks) < hi - lo:  # other shingles agree than those of this run
+        i, j = _stretch(equal, c - lo, percent)
     i, j = i + lo, j + lo
     if i > c or j < max(k for k, _ in anchors):
         return None
+    beside = np.concatenate([x[:i], x[j + 1 :]])
+    if len(beside) and np.isin(beside, y).any():  # words were put in or left out, perhaps
+        return None
     own, other = x[i : j + 1], y[i + shift : j + shift + 1]
     if not _similar(own, other, int(np.count_nonzero(own == other)), percent):
         return None
@@ -228,63 +260,36 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
     return out
 
 
-def _shared(docs: DataFrame, scratch: Scratch, width: int, min_words: int, hashes: int) -> DataFrame:
-    """(key, id, th, c, lo, hi, n): windows of keys that two documents or more have, n of each. Keys are counted with partial sums; only shared ones go on."""
-    found = scratch.save(windows(docs, width, min_words, hashes), "windows")
-    ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b"), F.count("*").alias("n")).where("lo <> hi or a <> b").select("key", "lo", "hi", "n")
-    return scratch.save(found.join(ends, "key"), "hits")
+def _hot(rows: DataFrame, by: list[str], total: int) -> DataFrame:
+    """Of counted keys (n) those with more than 1 / HOT of all rows: fewer than HOT, so that they can be broadcast."""
+    return F.broadcast(rows.where(F.col("n") > max(1000, total // HOT)).select(*by, F.lit(True).alias("hot")))
 
 
-def equal_stretches(crowded: DataFrame, texts: DataFrame, scratch: Scratch, width: int, min_words: int, hashes: int) -> DataFrame:
-    """(id, th, c, h): each stretch of ``min_words`` words whose minimum is in ``crowded`` (id, th, c, tags: what it was held against) against the least
-    and the greatest document that have all of it, unless it was. A place in STEP stands for the stretches that hold it."""
-    span, seed = min_words - width + 1, _seeds(hashes)[0]
+def _met(found: DataFrame, scratch: Scratch, step: int) -> DataFrame | None:
+    """(id, th, y, yth, anchors): windows of keys that two documents or more have, each against its key's hub; none if there are no such keys."""
+    ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b"), F.count("*").alias("n")).where("lo <> hi or a <> b").select("key", "lo", "n")
+    ends = scratch.save(ends, f"keys-{step}")
+    total = ends.agg(F.sum("n")).first()[0]
+    if not total:
+        return None
+    dealt = ends.join(_hot(ends, ["key"], total), "key", "left")
+    hot, rest = F.broadcast(dealt.where("hot")), dealt.where("hot is null")
+    hits = scratch.save(found.join(hot, "key").unionByName(found.join(rest, "key")), f"hits-{step}")
+    hubs = hits.where("id = lo").groupBy("key", "hot").agg(F.min(F.struct("id", "th", "c")).alias("h"))
+    side = lambda on: hubs.where(on).select("key", "h")
+    met = hits.where("hot").join(F.broadcast(side("hot")), "key").unionByName(hits.where("hot is null").join(side("hot is null"), "key"))
+    own = "id = h.id and th = h.th"
+    met = met.where(f"not ({own}) or n > 2 and c <> h.c")
+    anchor = F.struct("c", F.col("h.c").alias("d"), "left", "right", (F.col("n") > 2).alias("more"), "key")
+    pairs = scratch.save(met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(anchor).alias("anchors")), f"pairs-{step}")
+    scratch.drop(f"keys-{step}", f"hits-{step}")
+    return pairs
 
-    def rows(batches):
-        for b in slices(batches, 64):
-            at, key, places, lo, hi = [], [], [], [], []
-            for i, found in enumerate(b.column(3)):
-                s = sequence(b.column(2)[i].as_py().encode(), width)
-                c, a, z = (found.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                least, mask = _least(_mix(s ^ seed), span)
-                of = np.full(len(s), -1)
-                of[c] = np.arange(len(c))
-                window = of[(least & mask).astype(np.int64)]
-                p = np.flatnonzero(window >= 0)
-                at.append(np.full(len(p), i))
-                key.append(stretches(s, span)[p].view(np.int64))
-                places.append(p.astype(np.int32))
-                lo.append(a[window[p]])
-                hi.append(z[window[p]])
-            if at:
-                take = pa.array(np.concatenate(at))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *(pa.array(np.concatenate(v)) for v in (key, places, lo, hi))], names=["id", "th", "key", "p", "a", "z"])
-
-    asked = crowded.groupBy("id", "th").agg(F.collect_list(F.struct("c", "a", "z")).alias("found"))
-    placed = scratch.save(texts.join(asked, ["id", "th"]).select("id", "th", "text", "found").mapInArrow(rows, "id long, th long, key long, p int, a long, z long"), "places")
-    ends = placed.groupBy("key").agg(F.min(F.struct("id", "th", "p")).alias("lo"), F.max(F.struct("id", "th", "p")).alias("hi")).where("lo.id <> hi.id or lo.th <> hi.th")
-    met = placed.join(ends, "key").select("id", "th", "p", "a", "z", F.explode(F.array("lo", "hi")).alias("h")).where("(id <> h.id or th <> h.th) and xxhash64(h.id, h.th, h.p - p) not in (a, z)")
-    ahead = F.pmod(-F.col("p"), F.lit(min(STEP, span)))
-    return met.select("id", "th", (F.col("p") + ahead).alias("c"), F.struct("h.id", "h.th", (F.col("h.p") + ahead).alias("c")).alias("h")).distinct()
 
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, step: int, width: int, min_words: int, percent: int) -> DataFrame:
+    """Verified stretches (xs..ye), and windows with keys of the next round (key, c, left, right), of the documents (id, th)."""
 
-def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
-    """Verified stretches (x, xs, xe, y, ys, ye): documents x and y as (id, th), y the least or greatest that shares a minimum or a stretch with x; words xs..xe
-    of x and ys..ye of y, from 0, both included."""
-    scratch = Scratch(docs.sparkSession)
-    hits = _shared(docs, scratch, width, min_words, hashes)
-    scratch.drop("windows")  # and with it the shuffles that read it
-    least, greatest = F.min(F.struct("id", "th", "c")), F.max(F.struct("id", "th", "c"))
-    texts = _named(docs).dropDuplicates(["id", "th"])
-    hubs = hits.where("id = lo or id = hi").groupBy("key").agg(F.array_distinct(F.array(least, greatest)).alias("hubs"))
-    met = hits.join(hubs, "key").select("id", "th", "c", F.explode("hubs").alias("h")).where("id <> h.id or th <> h.th")
-    tag = lambda at: F.expr(f"xxhash64(element_at(hubs, {at}).id, element_at(hubs, {at}).th, element_at(hubs, {at}).c - c)")
-    crowded = hits.where("n > 3").join(hubs, "key").select("id", "th", "c", tag(1).alias("a"), tag(-1).alias("z"))
-    met = met.unionAll(scratch.save(equal_stretches(crowded, texts, scratch, width, min_words, hashes), "equal"))
-    scratch.drop("places")
-    pairs = met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(F.struct("c", F.col("h.c").alias("d"))).alias("anchors"))
-    pairs = scratch.save(pairs, "pairs")
-    scratch.drop("hits", "equal")
+    margin = max(REACH, min_words)  # no window's reach ends beyond it
 
     def cut(batches):
         """The partner's part of each interval goes to the document; its own text is there once."""
@@ -294,41 +299,87 @@ def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, pe
             ids, ths = b.column(2).to_pylist(), b.column(3).to_pylist()
             for i, anchors in enumerate(b.column(4)):
                 if last[0] != (ids[i], ths[i]):
-                    last = ((ids[i], ths[i]), sequence(b.column(5)[i].as_py().encode(), width))
-                for k in intervals(list(zip(anchors.values.field(0).to_pylist(), anchors.values.field(1).to_pylist()))):
-                    lo = max(0, min(d for _, d in k) - REACH)
+                    last = ((ids[i], ths[i]), sequences([b.column(5)[i].as_py().encode()], width)[0])
+                values = np.empty(len(anchors), _PLACES)
+                for k, name in enumerate(_PLACES.names):
+                    values[name] = anchors.values.field(k).to_numpy(zero_copy_only=False)
+                for k in intervals(values):
+                    lo = max(0, int(k["d"].min()) - margin)
                     at.append(i)
                     first.append(lo)
-                    part.append((last[1][lo : max(d for _, d in k) + REACH + 1] >> _U(32)).astype("<u4").tobytes())
-                    places.append(np.array(k, "<i4").tobytes())
+                    part.append((last[1][lo : int(k["d"].max()) + margin + 1] >> _U(32)).astype("<u4").tobytes())
+                    places.append(k.tobytes())
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(k).take(take) for k in range(4)), pa.array(first, pa.int32()), pa.array(part, pa.binary()), pa.array(places, pa.binary())], names=["id", "th", "y", "yth", "first", "part", "places"])
 
+    counted = pairs.groupBy("y", "yth").agg(F.count("*").alias("n"))
+    hot = _hot(counted, ["y", "yth"], pairs.count())
     partner = texts.select(F.col("id").alias("y"), F.col("th").alias("yth"), "text")
-    parts = pairs.join(partner, ["y", "yth"]).select("id", "th", "y", "yth", "anchors", "text").mapInArrow(cut, "id long, th long, y long, yth long, first int, part binary, places binary")
-    parts = scratch.save(parts.groupBy("id", "th").agg(F.collect_list(F.struct("y", "yth", "first", "part", "places")).alias("parts")), "parts")
-    scratch.drop("pairs")
+    dealt = pairs.join(hot, ["y", "yth"], "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "th"), F.lit(SALTS))).otherwise(0)).drop("hot")
+    copies = partner.join(hot, ["y", "yth"], "left").withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("hot")
+    parts = dealt.join(copies, ["y", "yth", "salt"]).select("id", "th", "y", "yth", "anchors", "text").mapInArrow(cut, "id long, th long, y long, yth long, first int, part binary, places binary")
+    parts = scratch.save(parts.groupBy("id", "th").agg(F.collect_list(F.struct("y", "yth", "first", "part", "places")).alias("parts")), f"parts-{step}")
+    scratch.drop(f"pairs-{step}")
 
     def verify(batches):
         for b in slices(batches, 64):
-            at, other, spans = [], [], []
+            at, other, spans, owner, on, keys = [], [], [], [], [], []
+            xs = sequences((t.as_py().encode() for t in b.column(2)), width)
+            ids, ths = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, asked in enumerate(b.column(3)):
-                x = (sequence(b.column(2)[i].as_py().encode(), width) >> _U(32)).astype(np.uint32)
+                x = (xs[i] >> _U(32)).astype(np.uint32)
                 for p in asked.as_py():
-                    y, k = np.frombuffer(p["part"], "<u4"), np.frombuffer(p["places"], "<i4").reshape(-1, 2)
-                    lo = max(0, int(k[:, 0].min()) - REACH)
-                    own = x[lo : int(k[:, 0].max()) + REACH + 1]
-                    for s in align(own, y, [(int(c) - lo, int(d) - p["first"]) for c, d in k], width, min_words, percent):
+                    y, k = np.frombuffer(p["part"], "<u4"), np.frombuffer(p["places"], _PLACES).copy()
+                    lo, first = max(0, int(k["c"].min()) - margin), p["first"]
+                    own = x[lo : int(k["c"].max()) + margin + 1]
+                    k["c"] -= lo
+                    k["d"] -= first
+                    if k["more"].any():
+                        for rest, key in left_over(own, y, k):
+                            rest["c"] += lo
+                            owner.append(np.full(len(rest), i))
+                            on.append(rest)
+                            keys.append(key)
+                    if (p["y"], p["yth"]) == (ids[i], ths[i]):
+                        continue
+                    for s in align(own, y, list(zip(k["c"].tolist(), k["d"].tolist())), width, min_words, percent):
                         at.append(i)
                         other.append((p["y"], p["yth"]))
-                        spans.append((s[0] + lo, s[1] + lo, s[2] + p["first"], s[3] + p["first"]))
-            p, take = np.array(spans, np.int32).reshape(-1, 4), pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array([o[0] for o in other], pa.int64()), pa.array([o[1] for o in other], pa.int64()), *(pa.array(p[:, j].copy()) for j in range(4))], names=["x", "xth", "y", "yth", "xs", "xe", "ys", "ye"])
+                        spans.append((s[0] + lo, s[1] + lo, s[2] + first, s[3] + first))
+            p = np.array(spans, np.int32).reshape(-1, 4)
+            rest = np.concatenate(on) if on else np.empty(0, _PLACES)
+            take = pa.array(np.concatenate([np.array(at, np.int64), *owner]), pa.int64())
+            stretch = [pa.concat_arrays([pa.array(v, t), pa.nulls(len(rest), t)]) for v, t in (([o[0] for o in other], pa.int64()), ([o[1] for o in other], pa.int64()), *((p[:, j].copy(), pa.int32()) for j in range(4)))]
+            more = [pa.concat_arrays([pa.nulls(len(at), t), pa.array(v, t)]) for v, t in ((np.concatenate(keys) if keys else [], pa.int64()), (rest["c"].copy(), pa.int32()), (rest["left"].copy(), pa.int16()), (rest["right"].copy(), pa.int16()))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *stretch, *more], names=["id", "th", "y", "yth", "xs", "xe", "ys", "ye", "key", "c", "left", "right"])
 
     both = texts.join(parts, ["id", "th"]).select("id", "th", "text", "parts")
-    out = scratch.save(both.mapInArrow(verify, "x long, xth long, y long, yth long, xs int, xe int, ys int, ye int"), "stretches")
-    scratch.drop("parts")
-    return out.select(F.struct(F.col("x").alias("id"), F.col("xth").alias("th")).alias("x"), F.struct(F.col("y").alias("id"), F.col("yth").alias("th")).alias("y"), "xs", "xe", "ys", "ye")
+    out = scratch.save(both.mapInArrow(verify, "id long, th long, y long, yth long, xs int, xe int, ys int, ye int, key long, c int, left short, right short"), f"verified-{step}")
+    scratch.drop(f"parts-{step}")
+    return out
+
+
+def passages(docs: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
+    """Verified stretches (x, xs, xe, y, ys, ye): documents x and y as (id, th), y a hub of x; words xs..xe of x and ys..ye of y, from 0, both included."""
+    scratch = Scratch(docs.sparkSession)
+    named = _named(docs).dropDuplicates(["id", "th"])
+    found, out, step = scratch.save(windows(docs, width, min_words, percent, hashes), "windows"), None, 0
+    while (pairs := _met(found, scratch, step)) is not None:
+        texts = named
+        if step:
+            sides = scratch.save(pairs.select("id", "th").unionAll(pairs.select("y", "yth")).distinct(), f"sides-{step}")
+            if sides.count() <= FEW:
+                texts = _named(docs).join(F.broadcast(sides), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+        else:
+            scratch.drop("windows")
+        done = _verified(pairs, texts, scratch, step, width, min_words, percent)
+        stretches = done.where("key is null").select(F.struct("id", "th").alias("x"), F.struct(F.col("y").alias("id"), F.col("yth").alias("th")).alias("y"), "xs", "xe", "ys", "ye")
+        out = stretches if out is None else out.unionAll(stretches)
+        found, step = done.where("key is not null").select("id", "th", "key", "c", "left", "right"), step + 1
+    if out is None:
+        who = "struct<id:bigint,th:bigint>"
+        return docs.sparkSession.createDataFrame([], f"x {who}, y {who}, xs int, xe int, ys int, ye int")
+    return out
 
 
 def duplicate_passages(docs: DataFrame, **options) -> DataFrame:

@@ -8,12 +8,13 @@ import pytest
 
 import corpus_pipeline
 from quillforge.llm import neardup, packing, passages, quality
+from quillforge.llm import words as words_module
 
 from .conftest import words
 
 
 def sets_of(text, width):
-    w = (text or "").encode().translate(neardup._FOLD).split()
+    w = (text or "").encode().translate(words_module._FOLD).split()
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
@@ -92,13 +93,25 @@ def test_one_of_each_group_stays(spark):
 
 
 def test_half_keys_are_the_only_minhashes():
-    s = neardup.shingles(b"a b c d e f g", 3)
-    assert len(s) == 5 and len(neardup.shingles(b"A b", 3)) == 1 and (neardup.shingles(b"A b", 3) == neardup.shingles(b"a  B", 3)).all()
+    s = neardup.sets([b"a b c d e f g"], 3)[0]
+    assert len(s) == 5 and [len(x) for x in neardup.sets([b"A b", None, b"", b" x "], 3)] == [1, 0, 0, 1] and neardup.sets([b"A b"], 3)[0] == neardup.sets([b"a  B"], 3)[0]
 
 
 # Passages ---------------------------------------------------------------------------------------------------------------------------------
 
 
+def test_word_hashes(monkeypatch):
+    rng = random.Random(3)
+    for piece in (1 << 20, 50):
+        monkeypatch.setattr(words_module, "PIECE", piece)
+        texts = [rng.choice([b" ", b"\t", b"\n\r", b"\x0b"]).join(rng.choice([b"a", b"b", b"ab", b"ba", "é".encode(), b"x" * 64, b"x" * 65, b"x" * 200]) for _ in range(rng.randrange(30))) for _ in range(60)] + [None, b"", b" \n", b"\tone "]
+        h, counts = words_module.word_hashes(texts)
+        plain = [w for t in texts for w in (t or b"").split()]
+        assert counts.tolist() == [len((t or b"").split()) for t in texts] and len(h) == len(plain)
+        assert len(set(zip(plain, h.tolist()))) == len(set(plain)) == len(set(h.tolist()))
+    assert words_module.word_hashes([b"AbC"])[0] == words_module.word_hashes([b"abc"])[0] != words_module.word_hashes([b"AbC"], fold=False)[0]
+
+
 def test_compact_windows():
     rng = np.random.default_rng(0)
     for _ in range(200):
@@ -177,6 +190,51 @@ def test_a_short_repeat_hides_no_longer_one(spark):
     assert got[2].n_dup_words == 55 and [tuple(s) for s in got[2].sources] == [(0, 599)] and [tuple(s) for s in got[1].sources] == [(0, 54)]
 
 
+def plain_similar(a, b, width=5, percent=80):
+    x, y = sets_of(" ".join(a), width), sets_of(" ".join(b), width)
+    return 100 * len(x & y) >= percent * len(x | y)
+
+
+def test_edited_passages_are_found(spark):
+    """Passages of which a word in fifty at most is changed, put in or left out; recall over those that are similar by brute force."""
+    assert passages.least_run(5, 50, 80) == 21 and passages.least_run(5, 50, 100) == 46
+    rng, rows, where = random.Random(21), [], {}
+    for k in range(150):
+        n = rng.choice([50, 55, 60, 75, 100, 150])
+        passage = words(n, 20000 + k)
+        edited = list(passage)
+        for at in sorted(rng.sample(range(3, n - 3), max(1, n // 50)), reverse=True):
+            edited[at : at + rng.choice([0, 1])] = words(1, rng.random()) * rng.choice([1, 1, 0])
+        before, after = words(rng.randrange(80), rng.random()), words(30, rng.random())
+        rows += [(2 * k, words(20, rng.random()) + passage + words(40, rng.random())), (2 * k + 1, before + edited + after)]
+        if len(edited) >= 50 and plain_similar(passage, edited):
+            where[2 * k + 1] = (len(before), len(before) + len(edited) - 1, passage, edited)
+    got = {r.doc_id: r.passages for r in passages.duplicate_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    found = [i for i, (lo, hi, *_) in where.items() if any(s.first <= lo + 9 and hi - 9 <= s.last and s.partner == i - 1 for s in got[i])]
+    assert len(where) > 100 and len(found) == len(where), sorted(set(where) - set(found))
+    assert sum(len(got[i]) for i in got if i % 2 == 0) == 0
+
+
+def test_copies_with_edits_of_their_own(spark):
+    """A family of copies, each repeated itself: whatever two have in common over fifty words is covered, by rounds if the least document has less of it."""
+    rng, base, rows = random.Random(4), words(160, 900), []
+    for k in range(14):
+        own = list(base)
+        for at in rng.sample(range(160), rng.randrange(1, 4)):
+            own[at] = f"edit{k}"
+        rows += [own, words(10, 910 + k) + own + words(10, 930 + k)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    got = {r.doc_id: [(s.first, s.last) for s in r.passages] for r in passages.duplicate_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    seen = set()
+    for i, w in rows:
+        own = [tuple(w[k : k + 50]) for k in range(len(w) - 49)]
+        for k, g in enumerate(own):
+            if g in seen:
+                assert any(a <= k and k + 49 <= b for a, b in got[i]), (i, k, got[i])
+        seen |= set(own)
+
+
 def test_passages_awkward(awkward, nothing):
     got = passages.duplicate_passages(awkward)
     assert got.count() == awkward.count() and passages.duplicate_passages(nothing).count() == 0
