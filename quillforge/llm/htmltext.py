@@ -2,11 +2,11 @@
 
 A page is cut into blocks, each in a zone: ``article`` (inside article or main elements), ``side`` (inside menus,
 headers, footers, sidebars, notices, adverts, forms, comments: by element, role, class or id) or ``body`` (the rest).
-The token streams of a host's pages are concatenated, and a suffix array over them finds the substrings of
+The token streams of a host's pages, without article blocks, are concatenated, and a suffix array over them finds the substrings of
 MIN_RUN tokens or more that two distinct pages or more share. Runs that such substrings cover are boilerplate and go
 from ``body`` blocks, of which the unique runs stay; ``side`` blocks go whole. What an article says is never cut, even
-where pages share a passage: only its own side parts go. The text of a page is its article blocks and the unique runs of
-its body blocks, in page order.
+where pages share a passage, nor does it make boilerplate of what another page says beside its own: only its side parts go. The text of a
+page is its article blocks and the unique runs of its body blocks, in page order. On a page without an article every block is in the streams.
 
 A suffix array over a host's pages is made in one task, so it serves hosts of at most BUCKET_CHARS characters of html. Of
 a greater host the same runs are found by a 64-bit hash of each MIN_RUN tokens, dealt by the hash into as many parts as the host
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,12 +36,19 @@ from .words import mix, word_hashes
 MIN_RUN, BUCKET_CHARS = 8, 4_000_000
 _U = np.uint64
 _RUNS = pa.schema([("_h", pa.string()), ("part", pa.int64()), ("runs", pa.binary()), ("pages", pa.binary())])
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+_OPEN = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>")
 _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp")}
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SIDE_TAGS = frozenset("nav footer aside form head menu dialog svg button select object canvas audio video".split())
-_SIDE_NAME = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|banner|sidebar|menu|nav\w*|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|promo\w*|sponsor\w*|comments?|replies|disqus|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|breadcrumbs?|pagination|pager|widget\w*|toolbar|skip)(?:$|[\s_-])""", re.I)
+#: Of a class or id, each name by itself: it ends in a word for a side part, perhaps with one for a box after it; adverts may have any end.
+_SIDE_NAME = re.compile(
+    r"""(?!(?:no|not|without|with|has)[_-])(?!(?:article|post|entry|story)[_-]header)(?:\w+[_-])*?(?:(?:ads?|advert\w*|sponsor\w*)(?:[_-].*)?|
+    (?:banner|sidebar|menu|nav\w*|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|promo\w*|comments?|replies|disqus|share|sharing|social|
+    related|recommend\w*|subscribe|newsletter|signup|breadcrumbs?|pagination|pager|widget\w*|toolbar|skip)
+    (?:[_-](?:box|bar|list|wrap|wrapper|container|links?|area|section|block|inner|items?|posts?|articles?|form|top|bottom|left|right|main|content|buttons?|\d+))*)$""", re.I | re.X)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu".split())
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=\s|$|=)|aria-hidden\s*=\s*["']?true)""", re.I)
@@ -59,23 +67,53 @@ def _is_side(tag: str, attrs: str, in_article: bool) -> bool:
         return False
     for name, *values in _ATTR.findall(attrs):
         value = next(filter(None, values), "")
-        if name.lower() == "role" and value.lower() in _SIDE_ROLE or name.lower() != "role" and _SIDE_NAME.search(value):
+        if name.lower() == "role" and value.lower() in _SIDE_ROLE or name.lower() != "role" and any(map(_SIDE_NAME.match, value.split())):
             return True
     return bool(_HIDDEN.search(attrs))
 
 
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Start, end, whether it closes, name and attributes of each tag, in one pass; comments, and elements of raw text whole, have no name.
+
+    What no ``>`` follows is text. From a tag on whose quotes never close, ``>`` ends a tag within quotes too."""
+    at, last, shape = 0, page.rfind(">"), _TAG
+    while m := _OPEN.search(page, at):
+        at = m.start()
+        if at > last and m[0] != "<!--":
+            at = page.find("<!--", at)  # no tag ends any more, but a comment goes to the end
+            if at < 0:
+                return
+            yield at, len(page), False, "", ""
+            return
+        if m[0] == "<!--":
+            end = page.find("-->", at + 4)
+            end = end + 3 if end >= 0 else len(page)
+            yield at, end, False, "", ""
+        elif m[0][1] in "!?":
+            end = page.index(">", at) + 1
+            yield at, end, False, "", ""
+        else:
+            t = shape.match(page, at)
+            if t is None:
+                shape = _PLAIN_TAG
+                t = shape.match(page, at)
+            end, name = t.end(), t[2].lower()
+            if not t[1] and name in _RAW and not t[3].endswith("/"):
+                close = _RAW[name].search(page, end)
+                end = close.end() if close else len(page)
+                yield at, end, False, "", ""
+            else:
+                yield at, end, bool(t[1]), name, t[3]
+        at = end
+
+
 def _closed(page: str) -> set[int]:
     """Where the elements start that are closed before the body ends, counting elements of one name only."""
     out: set[int] = set()
     opened: dict[str, list[int]] = {}
-    at = 0
-    while m := _TAG.search(page, at):
-        at, tag = m.end(), (m[2] or "").lower()
-        if not m[1] and tag in _RAW and not m[3].endswith("/"):
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
-        elif tag and not m[1]:
-            opened.setdefault(tag, []).append(m.start())
+    for start, _, closing, tag, _ in _tags(page):
+        if tag and not closing:
+            opened.setdefault(tag, []).append(start)
         elif tag in ("body", "html"):
             opened.clear()
         elif opened.get(tag):
@@ -99,18 +137,12 @@ def blocks(page: str | None) -> list[Block]:
                 out.append(Block("side" if side else "article" if article else "body", text))
             parts.clear()
 
-    while m := _TAG.search(page, at):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+    for begin, end, closing, tag, attrs in _tags(page):
+        if begin > at:
+            parts.append(page[at:begin])
+        at = end
         if not tag:
             continue
-        closing, attrs = bool(m[1]), m[3]
-        if not closing and tag in _RAW and not attrs.endswith("/"):
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
-            continue
         if tag in _BLOCKS:
             flush()
         elif tag == "br":
@@ -134,7 +166,7 @@ def blocks(page: str | None) -> list[Block]:
                 side, depth = "", 0
         elif not closing and tag not in _VOID and not attrs.endswith("/") and _is_side(tag, attrs, article > 0):
             flush()
-            side, depth, start, inner = tag, 1, m.start(), 0
+            side, depth, start, inner = tag, 1, begin, 0
     parts.append(page[at:])
     flush()
     return out
@@ -187,10 +219,11 @@ def main_text(zones: list[str], texts: list[str], covered: np.ndarray, min_run:
     """Article blocks, and of body blocks the tokens that do not go as repeated, in page order."""
     kept, at = [], 0
     for zone, text in zip(zones, texts):
-        words = text.split(" ")
         if zone == "article":
             kept.append(text)
-        elif zone == "body":
+            continue
+        words = text.split(" ")
+        if zone == "body":
             left = [w for w, c in zip(words, long_runs(covered[at : at + len(words)], min_run).tolist()) if not c]
             if left:
                 kept.append(" ".join(left))
@@ -201,10 +234,9 @@ def main_text(zones: list[str], texts: list[str], covered: np.ndarray, min_run:
 def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN) -> list[tuple[str, int]]:
     """For each page of a host, given as the zones and texts of its blocks: its main text, and how many tokens repeat on other pages."""
     number: dict[str, int] = {}
-    tokens = [[t.split(" ") for t in texts] for _, texts in pages]
-    streams = [np.fromiter((number.setdefault(w, len(number)) for block in p for w in block), np.int64) for p in tokens]
+    streams = [np.fromiter((number.setdefault(w, len(number)) for z, t in zip(zones, texts) if z != "article" for w in t.split(" ")), np.int64) for zones, texts in pages]
     first: dict[bytes, int] = {}
-    copy_of = [first.setdefault(xxhash.xxh3_128_digest(s.tobytes()), i) for i, s in enumerate(streams)]
+    copy_of = [first.setdefault(xxhash.xxh3_128_digest(" ".join(texts).encode("utf-8", "surrogatepass")), i) for i, (_, texts) in enumerate(pages)]
     own = sorted(set(copy_of))
     covered = dict(zip(own, repeated([streams[i] for i in own], min_run)))
     out = []
@@ -213,16 +245,17 @@ def host_texts(pages: list[tuple[list[str], list[str]]], min_run: int = MIN_RUN)
     return out
 
 
-def run_hashes(texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarray]:
-    """64-bit hashes: of a page's tokens, and of each ``min_run`` tokens of it in order on this host."""
-    h, _ = word_hashes([" ".join(texts).encode("utf-8", "surrogatepass")], fold=False)
+def run_hashes(zones: list[str], texts: list[str], host: str, min_run: int) -> tuple[int, np.ndarray]:
+    """64-bit hashes: of a page's tokens, and of each ``min_run`` tokens of its blocks beside the article, in order, on this host."""
+    beside = " ".join(t for z, t in zip(zones, texts) if z != "article")
+    h, _ = word_hashes([beside.encode("utf-8", "surrogatepass")], fold=False)
     own = _U(xxhash.xxh3_64_intdigest(host.encode()))
     out, length = mix(h + own), 1
     while length < min_run and len(out):
         step = min(length, min_run - length)
         out = mix(mix(out[: max(0, len(out) - step)]) + out[step:])
         length += step
-    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), out.view(np.int64)
+    return xxhash.xxh3_64_intdigest(" ".join(texts).encode("utf-8", "surrogatepass")) - (1 << 63), out.view(np.int64)
 
 
 def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
@@ -244,7 +277,7 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
         for part, found in parts(batches):
             of_host: dict[tuple[str, int], list[tuple[int, np.ndarray]]] = {}
             for p, h, n in zip(found, part.column(3).to_pylist(), part.column(4).to_pylist()):
-                of_host.setdefault((h, n), []).append(run_hashes([x.text for x in p], h, min_run))
+                of_host.setdefault((h, n), []).append(run_hashes([x.zone for x in p], [x.text for x in p], h, min_run))
             rows = []
             for (h, n), each in of_host.items():
                 runs = [np.unique(r) for _, r in each]
@@ -271,16 +304,16 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, bucket_chars: int = B
 
     def named(batches):
         for part, found in parts(batches):
-            keys = [run_hashes([x.text for x in p], h, min_run)[0] for p, h in zip(found, part.column(3).to_pylist())]
+            keys = [run_hashes([x.zone for x in p], [x.text for x in p], h, min_run)[0] for p, h in zip(found, part.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(keys, pa.int64()), pa.array([[x.zone for x in p] for p in found], pa.list_(pa.string())), pa.array([[x.text for x in p] for p in found], pa.list_(pa.string()))], names=["page_id", "url", "_h", "page", "zones", "texts"])
 
     def finish(batches):
         for b in batches:
             out = []
             for h, zones, texts, many in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5)):
-                runs = run_hashes(texts, h, min_run)[1]
+                runs = run_hashes(zones, texts, h, min_run)[1]
                 hit = np.isin(runs, np.frombuffer(b"".join(many.as_py() or []), "<i8"))
-                n = sum(t.count(" ") + 1 for t in texts)
+                n = sum(t.count(" ") + 1 for z, t in zip(zones, texts) if z != "article")
                 edge = np.zeros(n + min_run + 1, np.int64)
                 at = np.flatnonzero(hit)
                 edge[at] += 1

@@ -16,7 +16,7 @@ stretch of ``min_words`` words that occurs in a lesser document is held against
 only where each run of ``least_run`` shingles that it shares with its partner is also in a lesser document that is not similar there.
 
 A document's windows that meet one partner are joined by intervals: where their spans lie no further apart than REACH and near one
-diagonal. Each interval, with REACH shingles on either side, is verified on the shingles themselves: the longest stretch around an anchor of
+diagonal. Each interval, with REACH shingles on either side, is verified on the shingles themselves: the longest stretch around an anchor, from one shared shingle to another, of
 which as large a part as the similarity asks for occurs in the partner near the diagonal, then the Jaccard similarity of both stretches.
 
 Keys with more than 1 / HOT of all windows are fewer than HOT: they are joined by a broadcast of so many rows, and a hub with more than
@@ -144,7 +144,9 @@ def _run(hit: np.ndarray, at: np.ndarray, anchor: int) -> tuple[int, int]:
 
 def intervals(places: np.ndarray) -> list[np.ndarray]:
     """Windows of one pair of documents (_PLACES), joined where their spans lie within REACH and their diagonals drift less than a fourth of it."""
-    places = np.unique(places)
+    if len(places) == 1:
+        return [places]
+    places = places[np.argsort(places["c"], kind="stable")]
     shift = places["d"] - places["c"]
     starts, ends = places["c"] - places["left"], places["c"] + places["right"]
     if (shift == shift[0]).all() and (starts[1:] <= np.maximum.accumulate(ends)[:-1] + REACH).all():
@@ -162,29 +164,31 @@ def intervals(places: np.ndarray) -> list[np.ndarray]:
     return [places[n[0]] for n in out]
 
 
-def agreement(x: np.ndarray, y: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many shingles before and after each place x and y agree, up to where either ends."""
+def agreement(x: np.ndarray, y: np.ndarray, places: np.ndarray, bounds: tuple, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles before and after each place x and y agree, up to ``most`` and to where either text ends (``bounds``: first and end in x and in y)."""
     before, after = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
-    shift = places["d"] - places["c"]
-    for k in np.unique(shift).tolist():
-        of = np.flatnonzero(shift == k)
-        lo, hi = max(0, -k), min(len(x), len(y) - k)
-        c, breaks = places["c"][of], np.flatnonzero(x[lo:hi] != y[lo + k : hi + k]) + lo
-        at = np.searchsorted(breaks, c)
-        breaks = np.concatenate([[lo - 1], breaks, [hi]])
-        before[of], after[of] = c - breaks[at] - 1, breaks[at + 1] - c - 1
+    for lo in range(0, len(places), 4096):
+        of = slice(lo, lo + 4096)
+        for out, step in ((before, -1), (after, 1)):
+            off = np.arange(1, most + 1) * step
+            i, j = places["c"][of, None] + off, places["d"][of, None] + off
+            x0, x1, y0, y1 = (v[of, None] for v in bounds)
+            same = (i >= x0) & (i < x1) & (j >= y0) & (j < y1)
+            same &= x[np.clip(i, 0, len(x) - 1)] == y[np.clip(j, 0, len(y) - 1)]
+            out[of] = np.where(same.all(axis=1), most, np.argmin(same, axis=1))
     return before, after
 
 
-def left_over(x: np.ndarray, y: np.ndarray, places: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each side, the places whose window goes on where x and y part, and their keys in the next round."""
-    before, after = agreement(x, y, places)
-    key = places["key"].view(_U)
+def left_over(x: np.ndarray, y: np.ndarray, places: np.ndarray, bounds: tuple) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each side, which windows go on where x and y part, and their keys in the next round."""
+    if not len(places):
+        return []
+    before, after = agreement(x, y, places, bounds, int(max(places["left"].max(), places["right"].max(), 1)))
+    key = places["key"].view(_U) if places["key"].flags.c_contiguous else np.ascontiguousarray(places["key"]).view(_U)
     out = []
     for side, n, most, at in ((0, before, places["left"], places["c"] - before - 1), (1, after, places["right"], places["c"] + after + 1)):
-        on = np.flatnonzero(places["more"] & (n < most))
-        on = on[(at[on] >= 0) & (at[on] < len(x))]
-        out.append((places[on], mix(key[on] + mix((x[at[on]].astype(_U) << _U(8)) + n[on].astype(_U) * _U(2) + _U(side))).view(np.int64)))
+        on = np.flatnonzero((n < most) & (at >= bounds[0]) & (at < bounds[1]))
+        out.append((on, mix(key[on] + mix((x[at[on]].astype(_U) << _U(8)) + n[on].astype(_U) * _U(2) + _U(side))).view(np.int64)))
     return out
 
 
@@ -197,8 +201,8 @@ def _similar(x: np.ndarray, y: np.ndarray, hits: int, percent: int) -> bool:
     return 100 * common >= percent * (len(np.unique(x)) + len(np.unique(y)) - common)
 
 
-def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]] | None:
-    """``align`` where all anchors lie on one diagonal, one stretch along it holds them all and nothing beside it occurs in y; else None."""
+def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int, there: np.ndarray) -> list[tuple[int, int, int, int]] | None:
+    """``align`` where all anchors lie on one diagonal, one stretch along it holds them all and no shingle beside it is elsewhere in y; else None."""
     c, shift = anchors[0][0], anchors[0][1] - anchors[0][0]
     if any(d - k != shift for k, d in anchors):
         return None
@@ -214,8 +218,9 @@ def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], w
     i, j = i + lo, j + lo
     if i > c or j < max(k for k, _ in anchors):
         return None
-    beside = np.concatenate([x[:i], x[j + 1 :]])
-    if len(beside) and np.isin(beside, y).any():  # words were put in or left out, perhaps
+    off = there.copy()
+    off[lo:hi] &= ~equal
+    if off[:i].any() or off[j + 1 :].any():  # words were put in or left out, perhaps
         return None
     own, other = x[i : j + 1], y[i + shift : j + shift + 1]
     if not _similar(own, other, int(np.count_nonzero(own == other)), percent):
@@ -223,9 +228,9 @@ def _on_diagonal(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], w
     return [(i, j + width - 1, i + shift, j + shift + width - 1)] if j - i + width >= min_words else []
 
 
-def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int) -> list[tuple[int, int, int, int]]:
-    """Verified stretches (first and last word of x, of y) around anchors (place in x, place in y), in order of their place in x."""
-    direct = _on_diagonal(x, y, anchors, width, min_words, percent)
+def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: int, min_words: int, percent: int, there: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
+    """Verified stretches (first and last word of x, of y) around anchors (place in x, place in y), in order of their place in x; ``there``: what of x occurs in y."""
+    direct = _on_diagonal(x, y, anchors, width, min_words, percent, np.isin(x, y) if there is None else there)
     if direct is not None:
         return direct
     order = np.argsort(y, kind="stable")
@@ -260,9 +265,10 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
     return out
 
 
-def _hot(rows: DataFrame, by: list[str], total: int) -> DataFrame:
-    """Of counted keys (n) those with more than 1 / HOT of all rows: fewer than HOT, so that they can be broadcast."""
-    return F.broadcast(rows.where(F.col("n") > max(1000, total // HOT)).select(*by, F.lit(True).alias("hot")))
+def _hot(rows: DataFrame, by: list[str], total: int) -> DataFrame | None:
+    """Of counted keys (n) those with more than 1 / HOT of all rows, if there are any: fewer than HOT, so that they can be broadcast."""
+    hot = rows.where(F.col("n") > max(1000, total // HOT)).select(*by, F.lit(True).alias("hot"))
+    return F.broadcast(hot) if hot.take(1) else None
 
 
 def _met(found: DataFrame, scratch: Scratch, step: int) -> DataFrame | None:
@@ -272,14 +278,17 @@ def _met(found: DataFrame, scratch: Scratch, step: int) -> DataFrame | None:
     total = ends.agg(F.sum("n")).first()[0]
     if not total:
         return None
-    dealt = ends.join(_hot(ends, ["key"], total), "key", "left")
-    hot, rest = F.broadcast(dealt.where("hot")), dealt.where("hot is null")
-    hits = scratch.save(found.join(hot, "key").unionByName(found.join(rest, "key")), f"hits-{step}")
-    hubs = hits.where("id = lo").groupBy("key", "hot").agg(F.min(F.struct("id", "th", "c")).alias("h"))
-    side = lambda on: hubs.where(on).select("key", "h")
-    met = hits.where("hot").join(F.broadcast(side("hot")), "key").unionByName(hits.where("hot is null").join(side("hot is null"), "key"))
-    own = "id = h.id and th = h.th"
-    met = met.where(f"not ({own}) or n > 2 and c <> h.c")
+    hot = _hot(ends, ["key"], total)
+    if hot is None:
+        hits = scratch.save(found.join(ends, "key"), f"hits-{step}")
+        met = hits.join(hits.where("id = lo").groupBy("key").agg(F.min(F.struct("id", "th", "c")).alias("h")), "key")
+    else:
+        dealt = ends.join(hot, "key", "left")
+        hits = scratch.save(found.join(F.broadcast(dealt.where("hot")), "key").unionByName(found.join(dealt.where("hot is null"), "key")), f"hits-{step}")
+        hubs = hits.where("id = lo").groupBy("key", "hot").agg(F.min(F.struct("id", "th", "c")).alias("h"))
+        side = lambda on: hubs.where(on).select("key", "h")
+        met = hits.where("hot").join(F.broadcast(side("hot")), "key").unionByName(hits.where("hot is null").join(side("hot is null"), "key"))
+    met = met.where("not (id = h.id and th = h.th) or n > 2 and c <> h.c")
     anchor = F.struct("c", F.col("h.c").alias("d"), "left", "right", (F.col("n") > 2).alias("more"), "key")
     pairs = scratch.save(met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(anchor).alias("anchors")), f"pairs-{step}")
     scratch.drop(f"keys-{step}", f"hits-{step}")
@@ -297,13 +306,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, step: int, w
         for b in slices(batches):
             at, first, part, places = [], [], [], []
             ids, ths = b.column(2).to_pylist(), b.column(3).to_pylist()
-            for i, anchors in enumerate(b.column(4)):
+            flat = b.column(4).flatten()
+            values, ends = np.empty(len(flat), _PLACES), np.cumsum(b.column(4).value_lengths().to_numpy()).tolist()
+            for k, name in enumerate(_PLACES.names):
+                values[name] = flat.field(k).to_numpy(zero_copy_only=False)
+            for i, end in enumerate(ends):
                 if last[0] != (ids[i], ths[i]):
                     last = ((ids[i], ths[i]), sequences([b.column(5)[i].as_py().encode()], width)[0])
-                values = np.empty(len(anchors), _PLACES)
-                for k, name in enumerate(_PLACES.names):
-                    values[name] = anchors.values.field(k).to_numpy(zero_copy_only=False)
-                for k in intervals(values):
+                for k in intervals(values[ends[i - 1] if i else 0 : end]):
                     lo = max(0, int(k["d"].min()) - margin)
                     at.append(i)
                     first.append(lo)
@@ -312,46 +322,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, step: int, w
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(k).take(take) for k in range(4)), pa.array(first, pa.int32()), pa.array(part, pa.binary()), pa.array(places, pa.binary())], names=["id", "th", "y", "yth", "first", "part", "places"])
 
-    counted = pairs.groupBy("y", "yth").agg(F.count("*").alias("n"))
-    hot = _hot(counted, ["y", "yth"], pairs.count())
-    partner = texts.select(F.col("id").alias("y"), F.col("th").alias("yth"), "text")
-    dealt = pairs.join(hot, ["y", "yth"], "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "th"), F.lit(SALTS))).otherwise(0)).drop("hot")
-    copies = partner.join(hot, ["y", "yth"], "left").withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("hot")
-    parts = dealt.join(copies, ["y", "yth", "salt"]).select("id", "th", "y", "yth", "anchors", "text").mapInArrow(cut, "id long, th long, y long, yth long, first int, part binary, places binary")
+    hot = _hot(pairs.groupBy("y", "yth").agg(F.count("*").alias("n")), ["y", "yth"], pairs.count())
+    dealt, copies, by = pairs, texts.select(F.col("id").alias("y"), F.col("th").alias("yth"), "text"), ["y", "yth"]
+    if hot is not None:
+        whole = lambda k: F.lit(k).cast("long")
+        dealt = pairs.join(hot, by, "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "th"), whole(SALTS))).otherwise(whole(0))).drop("hot")
+        copies = copies.join(hot, by, "left").withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(whole(0), whole(SALTS - 1))).otherwise(F.array(whole(0))))).drop("hot")
+        by = [*by, "salt"]
+    parts = dealt.join(copies, by).select("id", "th", "y", "yth", "anchors", "text").mapInArrow(cut, "id long, th long, y long, yth long, first int, part binary, places binary")
     parts = scratch.save(parts.groupBy("id", "th").agg(F.collect_list(F.struct("y", "yth", "first", "part", "places")).alias("parts")), f"parts-{step}")
     scratch.drop(f"pairs-{step}")
 
     def verify(batches):
+        """All parts of some documents at a time: what goes on, and which parts can be similar at all, is told over whole arrays."""
+        need = -(-2 * percent * (min_words - width + 1) // (100 + percent))  # shingles that a stretch shares at least
         for b in slices(batches, 64):
-            at, other, spans, owner, on, keys = [], [], [], [], [], []
-            xs = sequences((t.as_py().encode() for t in b.column(2)), width)
-            ids, ths = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, asked in enumerate(b.column(3)):
-                x = (xs[i] >> _U(32)).astype(np.uint32)
-                for p in asked.as_py():
-                    y, k = np.frombuffer(p["part"], "<u4"), np.frombuffer(p["places"], _PLACES).copy()
-                    lo, first = max(0, int(k["c"].min()) - margin), p["first"]
-                    own = x[lo : int(k["c"].max()) + margin + 1]
-                    k["c"] -= lo
-                    k["d"] -= first
-                    if k["more"].any():
-                        for rest, key in left_over(own, y, k):
-                            rest["c"] += lo
-                            owner.append(np.full(len(rest), i))
-                            on.append(rest)
-                            keys.append(key)
-                    if (p["y"], p["yth"]) == (ids[i], ths[i]):
-                        continue
-                    for s in align(own, y, list(zip(k["c"].tolist(), k["d"].tolist())), width, min_words, percent):
-                        at.append(i)
-                        other.append((p["y"], p["yth"]))
-                        spans.append((s[0] + lo, s[1] + lo, s[2] + first, s[3] + first))
-            p = np.array(spans, np.int32).reshape(-1, 4)
-            rest = np.concatenate(on) if on else np.empty(0, _PLACES)
-            take = pa.array(np.concatenate([np.array(at, np.int64), *owner]), pa.int64())
-            stretch = [pa.concat_arrays([pa.array(v, t), pa.nulls(len(rest), t)]) for v, t in (([o[0] for o in other], pa.int64()), ([o[1] for o in other], pa.int64()), *((p[:, j].copy(), pa.int32()) for j in range(4)))]
-            more = [pa.concat_arrays([pa.nulls(len(at), t), pa.array(v, t)]) for v, t in ((np.concatenate(keys) if keys else [], pa.int64()), (rest["c"].copy(), pa.int32()), (rest["left"].copy(), pa.int16()), (rest["right"].copy(), pa.int16()))]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *stretch, *more], names=["id", "th", "y", "yth", "xs", "xe", "ys", "ye", "key", "c", "left", "right"])
+            xs = [(s >> _U(32)).astype(np.uint32) for s in sequences((t.as_py().encode() for t in b.column(2)), width)]
+            flat, owner = b.column(3).flatten(), np.repeat(np.arange(b.num_rows), b.column(3).value_lengths().to_numpy())
+            other = [flat.field(k).to_numpy() for k in (0, 1)]
+            first, raw, found = flat.field(2).to_numpy().astype(np.int64), flat.field(3).to_pylist(), flat.field(4).to_pylist()
+            y, places = np.frombuffer(b"".join(raw), "<u4"), np.frombuffer(b"".join(found), _PLACES).copy()
+            sizes, counts = np.fromiter(map(len, raw), np.int64, len(raw)) // 4, np.fromiter(map(len, found), np.int64, len(found)) // _PLACES.itemsize
+            x_ends, y_ends, ends = np.cumsum([len(x) for x in xs]), np.cumsum(sizes), np.cumsum(counts)
+            x_starts, y_starts, starts = x_ends - [len(x) for x in xs], y_ends - sizes, ends - counts
+            x, part = np.concatenate(xs), np.repeat(np.arange(len(raw)), counts)
+            # Windows that go on.
+            on, keys = [], []
+            more = np.flatnonzero(places["more"])
+            asked, of = places[more], part[more]
+            asked["c"] += x_starts[owner[of]]
+            asked["d"] += y_starts[of] - first[of]
+            for k, key in left_over(x, y, asked, (x_starts[owner[of]], x_ends[owner[of]], y_starts[of], y_ends[of])):
+                on.append(more[k])
+                keys.append(key)
+            # Shingles of x that occur in y, part by part.
+            lo = np.maximum(0, np.minimum.reduceat(places["c"], starts) - margin) if len(starts) else starts
+            hi = np.minimum(x_ends[owner] - x_starts[owner], np.maximum.reduceat(places["c"], starts) + margin + 1) if len(starts) else starts
+            cuts = np.cumsum(hi - lo)
+            own = np.concatenate([xs[i][p:q] for i, p, q in zip(owner.tolist(), lo.tolist(), hi.tolist())]) if len(lo) else x[:0]
+            tag = lambda values, n: (np.repeat(np.arange(len(raw), dtype=_U), n) << _U(32)) | values
+            there = np.isin(tag(own, hi - lo), tag(y, sizes))
+            self_ = (other[0] == b.column(0).to_numpy()[owner]) & (other[1] == b.column(1).to_numpy()[owner])
+            able = np.flatnonzero((np.add.reduceat(there, cuts - (hi - lo)) >= need) & ~self_) if len(lo) else lo
+            at, spans = [], []
+            for p in able.tolist():
+                k = places[starts[p] : ends[p]]
+                end, n, f = int(cuts[p]), int(hi[p] - lo[p]), int(first[p])
+                anchors = list(zip((k["c"] - lo[p]).tolist(), (k["d"] - f).tolist()))
+                for s in align(own[end - n : end], y[y_starts[p] : y_ends[p]], anchors, width, min_words, percent, there[end - n : end]):
+                    at.append(p)
+                    spans.append((s[0] + lo[p], s[1] + lo[p], s[2] + f, s[3] + f))
+            p, at = np.array(spans, np.int32).reshape(-1, 4), np.array(at, np.int64)
+            on = np.concatenate([np.zeros(0, np.int64), *on])
+            rest, take = places[on], pa.array(np.concatenate([owner[at], owner[part[on]]]).astype(np.int64))
+            stretch = [pa.concat_arrays([pa.array(v, t), pa.nulls(len(on), t)]) for v, t in ((other[0][at], pa.int64()), (other[1][at], pa.int64()), *((p[:, j].copy(), pa.int32()) for j in range(4)))]
+            goes = [pa.concat_arrays([pa.nulls(len(at), t), pa.array(v, t)]) for v, t in ((np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64()), (rest["c"].copy(), pa.int32()), (rest["left"].copy(), pa.int16()), (rest["right"].copy(), pa.int16()))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *stretch, *goes], names=["id", "th", "y", "yth", "xs", "xe", "ys", "ye", "key", "c", "left", "right"])
 
     both = texts.join(parts, ["id", "th"]).select("id", "th", "text", "parts")
     out = scratch.save(both.mapInArrow(verify, "id long, th long, y long, yth long, xs int, xe int, ys int, ye int, key long, c int, left short, right short"), f"verified-{step}")

@@ -2,13 +2,17 @@
 
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillforge.llm import htmltext, urlfilter
 
+from .conftest import words
+
 
 def plain(glob):
     parts = re.split(r"(\*\*|\*|\?)", glob)
@@ -122,3 +126,38 @@ def test_a_great_host_gives_what_one_suffix_array_gives(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     whole, dealt, some = (sorted(map(tuple, htmltext.extract_text(pages, bucket_chars=n).collect()), key=str) for n in (10**9, 500, 13_000))
     assert whole == dealt == some and len(whole) == len(rows)
+
+
+def test_names_that_only_look_like_side_parts():
+    zones = lambda name: {b.zone for b in htmltext.blocks(f'<div class="{name}"><p>some words</p></div>')}
+    for name in ("container no-sidebar", "article-header", "share-price", "with-menu", "header-image-text", "shared", "navy blue"[5:]):
+        assert zones(name) == {"body"}, name
+    for name in ("ad", "top ad-slot", "site-header", "comments", "post-comments", "comment-list", "cookie-banner", "widget_2", "related-posts", "main-nav", "footer-links", "adverts"):
+        assert zones(name) == {"side"}, name
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<", "<!", '<a "', "<p title='", "</", "<!--", "<script>", "<a b='x'\"", "<section class=comments>"])
+def test_broken_markup_takes_time_in_proportion(piece):
+    page = "<p>first words</p>" + piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    assert htmltext.blocks(page)[0].text == "first words"
+    assert htmltext.blocks(page + ">")[0].text == "first words"
+    assert time.perf_counter() - start < 20
+
+
+def test_tags_against_a_plain_scan():
+    page = """<P class='a>b' id=x>one<br/>two</p><!-- no > here --><script>if (a<b) "</p>"</script ><b>t < 3 & 4 > 2</b><!DOCTYPE x><div title="a
+b>c">three</div> <a href="x>y four"""
+    found = [(c, t) for _, _, c, t, _ in htmltext._tags(page) if t]
+    assert found == [(False, "p"), (False, "br"), (True, "p"), (False, "b"), (True, "b"), (False, "div"), (True, "div"), (False, "a")]
+    assert [b.text for b in htmltext.blocks(page)] == ["one two", "t < 3 & 4 > 2", "three", "y four"]
+
+
+def test_how_many_pages_the_array_changes(spark):
+    """Unmarked notices on pages with and without an article: without the suffix array each would stay."""
+    notice = " ".join(f"term{k}" for k in range(30))
+    page = lambda i: f"<div>{notice}</div>" + (f"<article><p>{' '.join(words(40, i))}</p></article>" if i % 2 else f"<div>{' '.join(words(40, i))}</div>") + f"<div>{' '.join(words(12, 900 + i))}</div>"
+    rows = [(i, f"http://host{i % 3}.org/{i}", page(i)) for i in range(30)] + [(99, "http://alone.org/", page(99))]
+    got = {r.page_id: r.text for r in htmltext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    plain = {i: [b.text for b in htmltext.blocks(h) if b.zone != "side"] for i, _, h in rows}
+    assert all(got[i] == "\n\n".join(plain[i][1:]) for i in range(30)) and got[99] == "\n\n".join(plain[99])
