@@ -31,25 +31,25 @@ _VALUE = r"""["']?[ ]*[:=][ ]*["']?"""
 RULES: tuple[Rule, ...] = (
     Rule("private_key_block", "PRIVATE_KEY", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----", 0, True),
     Rule("vendor_key", "API_KEY", r"sk-(?:[a-z]{2,8}-)?[A-Za-z0-9_-]{20,}", 0, True),
-    Rule("cloud_access_key", "API_KEY", r"(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{16}", 0, True),
-    Rule("forge_token", "API_KEY", r"(?:ghp|gho|ghu|ghs|ghr|glp)_[A-Za-z0-9]{36,}", 0, True),
+    Rule("cloud_access_key", "API_KEY", r"(?:AKIA|ASIA|ABIA|ACCA|AROA|AIDA)[A-Z0-9]{16}", 0, True),
+    Rule("forge_token", "API_KEY", r"(?:ghp|gho|ghu|ghs|ghr|glp|github_pat)_[A-Za-z0-9_]{36,}", 0, True),
     Rule("chat_token", "API_KEY", r"xox[abprs]-[A-Za-z0-9]+-[A-Za-z0-9]+-[A-Za-z0-9-]+", 0, True),
     Rule("json_web_token", "JWT", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, True),
     Rule("key_assignment", "API_KEY", rf"(?i)(?:api|access|auth|client)[_-]?(?:key|token){_VALUE}([A-Za-z0-9+/_.=-]{{16,}})", 1, True),
     Rule("secret_assignment", "SECRET", rf"(?i)secret(?:[_-]?key)?{_VALUE}([A-Za-z0-9+/_.=-]{{16,}})", 1, True),
-    Rule("password_assignment", "PASSWORD", rf"(?i)(?:password|passwd|pwd){_VALUE}([^\s\"',;\[][^\s\"',;]{{5,}})", 1, True),
+    Rule("password_assignment", "PASSWORD", rf"(?i)(?:password|passwd|pwd|db[_-]?pass){_VALUE}([^\s\"',;\[][^\s\"',;]{{5,}})", 1, True),
     Rule("bearer", "CREDENTIAL", r"(?i)bearer[ ]+([A-Za-z0-9._~+/=-]{20,})", 1, True),
     Rule("generic_token", "SECRET", rf"(?i)token{_VALUE}([A-Za-z0-9+/_.=-]{{20,}})", 1, True),
     Rule("email", "EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     Rule("phone_international", "PHONE", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"),
     Rule("phone_local", "PHONE", r"\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}"),
     Rule("ipv4", "IP_ADDRESS", rf"{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}"),
-    Rule("ipv6", "IP_ADDRESS", r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}:[0-9A-Fa-f]{1,4}"),
+    Rule("ipv6", "IP_ADDRESS", r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4}\b"),
     Rule("ssn", "SSN", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
     Rule("card", "CREDIT_CARD", r"[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{13,19}"),
-    Rule("home_path", "PATH", r"/(?:home|Users)/[A-Za-z0-9._-]+"),
+    Rule("home_path", "PATH", r"/(?:home|Users)/[A-Za-z0-9._-]+(?:/[A-Za-z0-9._~-]+)*"),
     Rule("titled_name", "NAME", r"(?:Mr|Mrs|Ms|Dr|Prof)\. [A-Z][a-z]+(?: [A-Z][a-z]+)+"),
-    Rule("labelled_name", "NAME", r"(?i)(?:full[ _]?name|customer|patient|employee)[ ]*[:=][ ]*([A-Z][a-z]+(?: [A-Z][a-z]+)+)", 1),
+    Rule("labelled_name", "NAME", r"(?i)(?:full[ _-]?name|legal[ _-]?name|user[ _-]?name|author|contributor|developer|contact|signed-off-by|customer|patient|employee)[ ]*[:=][ ]*([A-Z][a-z]+(?: [A-Z][a-z]+)+)", 1),
 )
 TOKENS = {r.category: f"[REDACTED:{r.category}]" for r in RULES}
 #: Rows that a cast counts without rewriting them.

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-ADMISSIBLE_RIGHTS = ("OWNED", "LICENSED", "PUBLIC_DOMAIN", "ASSERTED")
-ADMISSIBLE_PRIVACY = ("CLEAN", "REDACTED", "SYNTHETIC", "CONSENTED")
-ADMISSIBLE_REVIEW = ("ACCEPTED", "ACCEPTED_WITH_EDITS", "NOT_REQUIRED")
-ADMISSIBLE_AUTHORSHIP = ("HUMAN", "HUMAN_EDITED", "MODEL", "MODEL_REVIEWED", "MIXED", "SYNTHETIC", "TOOL", "IMPORTED")
-SPLITS, HELD_OUT = ("train", "validation", "test", "eval"), ("test", "eval")
+# What a record's fields must say to be admitted. All else, null included, blocks.
+ADMISSIBLE_RIGHTS = ("TRANSFORMED_RELEASE_TEXT_ONLY_SOURCE_MATERIAL_EXCLUDED", "OPERATOR_OWNED_FULL_RIGHTS", "SYNTHETIC_ORIGINAL_FULL_RIGHTS", "MACHINE_RESULT_OPERATOR_OWNED")
+ADMISSIBLE_PRIVACY = ("PASS_MANUAL_PUBLIC_REVIEW", "PASS_AUTOMATED_SCAN", "PASS_AUTOMATED_REDACTION", "PASS_AUTOMATED_SCAN_AND_MANUAL_REVIEW")
+ADMISSIBLE_REVIEW = ("MANUAL_REVIEW_PASS", "AUTOMATED_REVIEW_PASS", "AUTOMATED_REVIEW_PASS_MANUAL_SPOT_CHECK")
+ADMISSIBLE_AUTHORSHIP = ("operator_input", "operator_material", "machine_result", "model_prose", "model_reasoning", "model_tool_call", "telemetry", "mixed")
+TRAINING, HELD_OUT = ("train", "preference"), ("heldout_eval",)
+SPLITS = (*TRAINING, *HELD_OUT)
 
 
 def held_out_groups(records: DataFrame) -> DataFrame:
@@ -49,7 +51,7 @@ def admit(records: DataFrame, rights=ADMISSIBLE_RIGHTS, held_out: DataFrame | No
     blocked = lambda c, allowed: ~F.coalesce(F.col(c).isin(*allowed), F.lit(False))
     shown = lambda c: F.coalesce(F.col(c), F.lit("null"))
     reasons = F.array_compact(F.array(
-        F.when(blocked("split", ("train", "validation")), F.concat(F.lit("split: "), shown("split"))),
+        F.when(blocked("split", TRAINING), F.concat(F.lit("split: "), shown("split"))),
         F.when(blocked("rights_status", rights), F.concat(F.lit("rights: "), shown("rights_status"))),
         F.when(blocked("authorship_class", ADMISSIBLE_AUTHORSHIP), F.concat(F.lit("authorship: "), shown("authorship_class"))),
         F.when(blocked("privacy_status", ADMISSIBLE_PRIVACY), F.concat(F.lit("privacy: "), shown("privacy_status"))),

@@ -32,13 +32,26 @@ def mcnemar(b: int, c: int) -> float:
     return min(1.0, 2 * sum(math.comb(n, k) for k in range(min(b, c) + 1)) / 2**n)
 
 
+def erfc_column(x: Column) -> Column:
+    """The complementary error function of x >= 0: a power series up to 2.5, a continued fraction beyond."""
+    zero = F.struct(x.alias("term"), x.alias("total"))
+    up = lambda a, n: F.struct((-a["term"] * x * x / n).alias("term"), (a["total"] - a["term"] * x * x / n / (2 * n + 1)).alias("total"))
+    series = 1 - 2 / math.sqrt(math.pi) * F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda n: n.cast("double")), zero, up, lambda a: a["total"])
+    fraction = F.aggregate(F.transform(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), lambda n: n.cast("double")), x, lambda a, n: x + n / 2 / a)
+    return F.when(x < 2.5, series).otherwise(F.exp(-x * x) / math.sqrt(math.pi) / fraction)
+
+
 def mcnemar_column(b: Column, c: Column) -> Column:
-    """``mcnemar`` for up to 1000 discordant cases, as a column: each term of the binomial tail follows from the one before."""
-    n, k = b + c, F.least(b, c)
-    start = F.struct(F.pow(F.lit(0.5), n).alias("term"), F.pow(F.lit(0.5), n).alias("total"))
-    step = lambda a, i: F.struct((a["term"] * (n - i + 1) / i).alias("term"), (a["total"] + a["term"] * (n - i + 1) / i).alias("total"))
-    tail = F.aggregate(F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.expr("cast(array() as array<int>)")), start, step, lambda a: a["total"])
-    return F.when((n == 0) | (b == c), 1.0).otherwise(F.least(F.lit(1.0), 2 * tail))
+    """``mcnemar`` as a column. The largest term of the binomial tail is made of logarithms, so that it does not vanish; each term before follows from it."""
+    n, k = (b + c).cast("double"), F.least(b, c)
+    counts = F.when(k > 0, F.sequence(F.lit(1), k.cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+    log = F.aggregate(counts, n * math.log(0.5), lambda a, i: a + F.log((n - i + 1) / i))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    down = lambda a, i: F.struct((a["term"] * i / (n - i + 1)).alias("term"), (a["total"] + a["term"] * i / (n - i + 1)).alias("total"))
+    tail = F.exp(log) * F.aggregate(F.reverse(counts), start, down, lambda a: a["total"])
+    z = F.greatest(F.lit(0.0), F.abs(b - c) - 1) / F.sqrt(n)
+    exact = F.least(F.lit(1.0), 2 * tail)
+    return F.when((n == 0) | (b == c), 1.0).when(n > 1000, erfc_column(z / math.sqrt(2))).otherwise(exact)
 
 
 def paired_ci(wins: int, losses: int, n: int) -> tuple[float, float]:

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 TOOL_CALLS = "array<struct<id:string,name:string,arguments:string>>"
 MESSAGE = f"struct<role:string,content:string,reasoning:string,tool_calls:{TOOL_CALLS},tool_call_id:string,name:string,loss_weight:double>"
-#: Event types by the role of the message they become; other events become none.
+#: The event types that become messages, by role, and the names their content goes by in a payload. Other events become none.
 EVENT_ROLES = {
-    "system": ("system", "system_prompt", "system_message"),
-    "user": ("user", "user_message", "task", "prompt", "instruction"),
-    "assistant": ("assistant", "assistant_message", "model_response", "response"),
-    "tool": ("tool", "tool_result", "tool_response", "function_result"),
+    "system": ("scenario.init", "system.prompt"),
+    "user": ("user.input", "task.start"),
+    "assistant": ("model.response", "turn.assistant"),
+    "tool": ("tool.result", "broker.result", "exec.result"),
 }
+CONTENT = {"system": ("instruction", "text"), "user": ("prompt", "text"), "assistant": ("content",), "tool": ("output", "result")}
+REASONING = ("reasoning", "provider_reasoning")
 PAIR_ROLES = {"user": "human", "assistant": "gpt", "function": "tool"}
 FORMATS = {"chat": "chat", "openai": "chat", "openai_chat": "chat", "messages": "chat", "turn_pair": "turn_pair", "sharegpt": "turn_pair", "conversations": "turn_pair", "block": "block", "anthropic": "block"}
 
@@ -29,12 +31,15 @@ def loss_weight(role: Column, given: Column | None = None) -> Column:
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """Events (event_type, payload: a JSON text) as messages, other columns kept; of a payload's names for one thing the first non-empty counts."""
-    role = F.coalesce(*[F.when(F.lower("event_type").isin(*types), r) for r, types in EVENT_ROLES.items()])
-    field = lambda *names: F.coalesce(*[F.nullif(F.get_json_object("payload", f"$.{n}"), F.lit("")) for n in names])
-    calls = F.transform(F.from_json(F.get_json_object("payload", "$.tool_calls"), "array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>"), lambda c: F.struct(c["id"].alias("id"), c["function"]["name"].alias("name"), c["function"]["arguments"].alias("arguments")))
-    content = F.when(role == "user", field("instruction", "prompt", "text", "content")).when(role == "tool", field("output", "result", "content", "text")).otherwise(field("content", "text"))
-    message = F.struct(role.alias("role"), F.coalesce(content, F.lit("")).alias("content"), F.when(role == "assistant", field("reasoning", "reasoning_content")).alias("reasoning"), F.when(role == "assistant", calls).alias("tool_calls"), F.when(role == "tool", field("tool_call_id", "id")).alias("tool_call_id"), F.when(role == "tool", field("name")).alias("name"), loss_weight(role).alias("loss_weight"))
+    """Events with their messages, other columns kept. An event's type is ``event_type``, ``type`` or ``name``, its payload (a JSON text) ``payload`` or
+    ``data``: of these, and of a payload's names for one thing, the first that is not empty counts."""
+    first = lambda *names: F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names if n in events.columns])
+    kind, payload = first("event_type", "type", "name"), first("payload", "data")
+    role = F.coalesce(*[F.when(kind.isin(*types), r) for r, types in EVENT_ROLES.items()])
+    field = lambda *names: F.coalesce(*[F.nullif(F.get_json_object(payload, f"$.{n}"), F.lit("")) for n in names])
+    calls = F.transform(F.from_json(F.get_json_object(payload, "$.tool_calls"), "array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>"), lambda c: F.struct(c["id"].alias("id"), c["function"]["name"].alias("name"), c["function"]["arguments"].alias("arguments")))
+    content = F.coalesce(*[F.when(role == r, field(*names)) for r, names in CONTENT.items()], F.lit(""))
+    message = F.struct(role.alias("role"), content.alias("content"), F.when(role == "assistant", field(*REASONING)).alias("reasoning"), F.when(role == "assistant", calls).alias("tool_calls"), F.when(role == "tool", field("tool_call_id", "id")).alias("tool_call_id"), F.when(role == "tool", field("name")).alias("name"), loss_weight(role).alias("loss_weight"))
     return events.where(role.isNotNull()).withColumn("message", message)
 
 

@@ -38,9 +38,9 @@ def ordinal_gaps(rows: DataFrame, run: str, ordinal: str, base: int = 0) -> Data
 def next_action(events: DataFrame, run: str, order: list[str], is_request: Column, is_action: Column, ident: str) -> DataFrame:
     """Forward as-of: each request with the first action after it in its run; many requests may share one; null if none follows.
 
-    One sort of each run, and a frame that looks ahead: no range join."""
-    ahead = Window.partitionBy(run).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    rows = events.withColumns({"_q": is_request, "_a": F.first(F.when(is_action, F.col(ident)), ignorenulls=True).over(ahead)})
+    One sort of each run, latest event first: the last action before a row there is the first after it in time, kept as the frame grows."""
+    ahead = Window.partitionBy(run).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    rows = events.withColumns({"_q": is_request, "_a": F.last(F.when(is_action, F.col(ident)), ignorenulls=True).over(ahead)})
     return rows.where("_q").select(run, F.col(ident).alias("request_id"), F.col("_a").alias("action_id"))
 
 

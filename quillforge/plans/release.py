@@ -9,17 +9,17 @@ from ..operators import receipts as R
 from ..operators import suite
 from .catalog import query, read
 
-_RECORDS = """WITH rec AS (SELECT doc_id::VARCHAR AS record_id, (doc_id % 3 + 1)::INT AS schema_version, CASE WHEN doc_id % 17 = 0 THEN 'test' WHEN doc_id % 7 = 0 THEN 'validation' ELSE 'train' END AS split, [source || '-' || (doc_id % 40)::VARCHAR, lang] AS groups,
-CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'UNKNOWN' ELSE 'LICENSED' END AS rights_status, CASE WHEN doc_id % 19 = 0 THEN 'RAW' ELSE 'CLEAN' END AS privacy_status, 'ACCEPTED' AS quality_review, 'HUMAN' AS authorship_class, sha256(coalesce(text, '')) AS content_sha256,
+_RECORDS = """WITH rec AS (SELECT doc_id::VARCHAR AS record_id, (doc_id % 3 + 1)::INT AS schema_version, CASE WHEN doc_id % 17 = 0 THEN 'heldout_eval' WHEN doc_id % 7 = 0 THEN 'preference' ELSE 'train' END AS split, [source || '-' || (doc_id % 40)::VARCHAR, lang] AS groups,
+CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'UNKNOWN' ELSE 'OPERATOR_OWNED_FULL_RIGHTS' END AS rights_status, CASE WHEN doc_id % 19 = 0 THEN 'RAW' ELSE 'PASS_AUTOMATED_SCAN' END AS privacy_status, 'AUTOMATED_REVIEW_PASS' AS quality_review, 'operator_material' AS authorship_class, sha256(coalesce(text, '')) AS content_sha256,
 CASE WHEN doc_id % 23 = 0 THEN 'HOLD' ELSE 'PASSED' END AS source_status, 'PASS' AS evaluation_status, CASE WHEN doc_id % 29 = 0 THEN 'short' ELSE sha256(source) END AS assertion_sha256 FROM documents),
-held AS (SELECT DISTINCT unnest(groups[1:1]) AS g FROM rec WHERE split = 'test'), leaks AS (SELECT DISTINCT record_id FROM rec, held WHERE split <> 'test' AND g = groups[1])"""
+held AS (SELECT DISTINCT unnest(groups[1:1]) AS g FROM rec WHERE split = 'heldout_eval'), leaks AS (SELECT DISTINCT record_id FROM rec, held WHERE split <> 'heldout_eval' AND g = groups[1])"""
 
 
 def records(spark, d):
     """Records derived from ``documents`` by rules on ids, so that every check has something to find."""
     docs, i = read(spark, d, "documents"), F.col("doc_id")
     when = lambda n, v, other: F.when(i % n == 0, F.lit(v)).otherwise(other)
-    return docs.select(i.cast("string").alias("record_id"), (i % 3 + 1).cast("int").alias("schema_version"), when(17, "test", when(7, "validation", F.lit("train"))).alias("split"), F.array(F.concat("source", F.lit("-"), (i % 40).cast("string"))).alias("split_group_ids"), when(11, None, when(13, "UNKNOWN", F.lit("LICENSED"))).alias("rights_status"), when(19, "RAW", F.lit("CLEAN")).alias("privacy_status"), F.lit("ACCEPTED").alias("quality_review"), F.lit("HUMAN").alias("authorship_class"), T.sha256(F.coalesce("text", F.lit(""))).alias("content_sha256"), when(23, "HOLD", F.lit("PASSED")).alias("source_status"), F.lit("PASS").alias("evaluation_status"), F.when(i % 29 == 0, "short").otherwise(T.sha256(F.col("source"))).alias("assertion_sha256"))
+    return docs.select(i.cast("string").alias("record_id"), (i % 3 + 1).cast("int").alias("schema_version"), when(17, "heldout_eval", when(7, "preference", F.lit("train"))).alias("split"), F.array(F.concat("source", F.lit("-"), (i % 40).cast("string"))).alias("split_group_ids"), when(11, None, when(13, "UNKNOWN", F.lit("OPERATOR_OWNED_FULL_RIGHTS"))).alias("rights_status"), when(19, "RAW", F.lit("PASS_AUTOMATED_SCAN")).alias("privacy_status"), F.lit("AUTOMATED_REVIEW_PASS").alias("quality_review"), F.lit("operator_material").alias("authorship_class"), T.sha256(F.coalesce("text", F.lit(""))).alias("content_sha256"), when(23, "HOLD", F.lit("PASSED")).alias("source_status"), F.lit("PASS").alias("evaluation_status"), F.when(i % 29 == 0, "short").otherwise(T.sha256(F.col("source"))).alias("assertion_sha256"))
 
 
 @query("split_leakage", _RECORDS + " SELECT record_id FROM leaks")
@@ -28,7 +28,7 @@ def split_leakage(spark, d):
 
 
 _ADMIT = _RECORDS + """, r AS (SELECT rec.*, l.record_id IS NOT NULL AS leaks FROM rec LEFT JOIN leaks l USING (record_id)), bad AS (SELECT record_id, CASE WHEN schema_version > 1 AND assertion_sha256 = 'short' THEN ['schema: invalid'] ELSE list_filter([
-CASE WHEN split = 'test' THEN 'split: test' END, CASE WHEN coalesce(rights_status, 'null') <> 'LICENSED' THEN 'rights: ' || coalesce(rights_status, 'null') END, CASE WHEN privacy_status = 'RAW' THEN 'privacy: RAW' END, CASE WHEN leaks THEN 'leakage: a split group is held out' END, CASE WHEN source_status = 'HOLD' THEN 'source_status: not passed' END], lambda x: x IS NOT NULL) END AS reasons FROM r)"""
+CASE WHEN split = 'heldout_eval' THEN 'split: heldout_eval' END, CASE WHEN coalesce(rights_status, 'null') <> 'OPERATOR_OWNED_FULL_RIGHTS' THEN 'rights: ' || coalesce(rights_status, 'null') END, CASE WHEN privacy_status = 'RAW' THEN 'privacy: RAW' END, CASE WHEN leaks THEN 'leakage: a split group is held out' END, CASE WHEN source_status = 'HOLD' THEN 'source_status: not passed' END], lambda x: x IS NOT NULL) END AS reasons FROM r)"""
 
 
 @query("admission_reasons", _ADMIT + " SELECT record_id, array_to_string(reasons, '|') AS reasons, len(reasons) = 0 AS admitted FROM bad")

@@ -71,3 +71,11 @@ def token_estimates(spark, d):
 @query("taxonomy", "SELECT DISTINCT tag FROM (SELECT 'lang:' || lang AS tag FROM documents UNION ALL SELECT 'source:' || source FROM documents) WHERE tag IS NOT NULL")
 def taxonomy(spark, d):
     return D.taxonomy(read(spark, d, "documents"), lang="lang", source="source")
+
+
+@query("event_messages", "SELECT conv_id, turn, role, coalesce(text, '') AS content, CASE WHEN role = 'assistant' THEN 1.0 ELSE 0.0 END::DOUBLE AS loss_weight FROM conversations WHERE role IN ('system', 'user', 'assistant')")
+def event_messages(spark, d):
+    kind = F.when(F.col("role") == "system", "system.prompt").when(F.col("role") == "user", "user.input").when(F.col("role") == "assistant", "model.response").otherwise("heartbeat")
+    names = F.when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("prompt")))).when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("instruction")))).otherwise(F.to_json(F.struct(F.col("text").alias("content"))))
+    events = read(spark, d, "conversations").select("conv_id", "turn", kind.alias("type"), names.alias("payload"))
+    return M.messages_from_events(events).select("conv_id", "turn", "message.role", "message.content", "message.loss_weight")

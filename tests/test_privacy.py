@@ -14,7 +14,14 @@ CASES = [
     ('password = "hunter22"', "PASSWORD", 'password = "[REDACTED:PASSWORD]"'),
     ("AKIA" + "ABCDEFGH12345678", "API_KEY", "[REDACTED:API_KEY]"),
     ("id 123-45-6789", "SSN", "id [REDACTED:SSN]"),
-    ("see /home/ann/x", "PATH", "see [REDACTED:PATH]/x"),
+    ("see /home/ann/x.y/z now", "PATH", "see [REDACTED:PATH] now"),
+    ("ABIA" + "ABCDEFGH12345678", "API_KEY", "[REDACTED:API_KEY]"),
+    ("github_pat_" + "A1b2_" * 9, "API_KEY", "[REDACTED:API_KEY]"),
+    ("db_pass: hunter22", "PASSWORD", "db_pass: [REDACTED:PASSWORD]"),
+    ("on ::1 and", "IP_ADDRESS", "on [REDACTED:IP_ADDRESS] and"),
+    ("on fe80::1 and", "IP_ADDRESS", "on [REDACTED:IP_ADDRESS] and"),
+    ("on 2001:db8::8a2e:370:7334 and", "IP_ADDRESS", "on [REDACTED:IP_ADDRESS] and"),
+    ("Author: Ada Byron", "NAME", "Author: [REDACTED:NAME]"),
     ("Dr. Ada Byron came", "NAME", "[REDACTED:NAME] came"),
     ('token = "' + "0af3" * 10 + '"', "SECRET", 'token = "[REDACTED:SECRET]"'),
     ("😀é bob@example.com", "EMAIL", "😀é [REDACTED:EMAIL]"),

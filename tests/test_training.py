@@ -9,11 +9,11 @@ from quillforge.operators import datacard as D
 from quillforge.sources import readers, writers
 
 EVENTS = [
-    (1, 0, "system_prompt", json.dumps({"content": "Be kind"})),
-    (1, 1, "user_message", json.dumps({"instruction": "", "prompt": "Add 1 and 2"})),
-    (1, 2, "assistant", json.dumps({"content": "", "reasoning": "use a tool", "tool_calls": [{"id": "c1", "type": "function", "function": {"name": "a\"dd", "arguments": "{}"}}]})),
-    (1, 3, "tool_result", json.dumps({"output": "3", "tool_call_id": "c1"})),
-    (1, 4, "assistant", json.dumps({"content": "3"})),
+    (1, 0, "scenario.init", json.dumps({"instruction": "", "text": "Be kind"})),
+    (1, 1, "task.start", json.dumps({"prompt": "Add 1 and 2", "text": "other"})),
+    (1, 2, "model.response", json.dumps({"content": "", "provider_reasoning": "use a tool", "tool_calls": [{"id": "c1", "type": "function", "function": {"name": "a\"dd", "arguments": "{}"}}]})),
+    (1, 3, "broker.result", json.dumps({"output": "", "result": "3", "tool_call_id": "c1"})),
+    (1, 4, "turn.assistant", json.dumps({"content": "3"})),
     (1, 5, "heartbeat", "{}"),
 ]
 
@@ -31,6 +31,13 @@ def test_events_become_masked_messages(trace):
     assert m[1].content == "Add 1 and 2" and m[2].tool_calls[0].name == 'a"dd' and m[3].tool_call_id == "c1"
 
 
+def test_every_event_type(spark):
+    types = ["scenario.init", "system.prompt", "user.input", "task.start", "model.response", "turn.assistant", "tool.result", "broker.result", "exec.result", "user_message", None]
+    rows = [(i, t if i % 2 else None, t, json.dumps({"text": "t", "content": "c", "result": {"a": [1]}})) for i, t in enumerate(types)]
+    got = M.messages_from_events(spark.createDataFrame(rows, "i int, type string, name string, data string")).orderBy("i").collect()
+    assert [(r.message.role, r.message.content) for r in got] == [("system", "t")] * 2 + [("user", "t")] * 2 + [("assistant", "c")] * 2 + [("tool", '{"a":[1]}')] * 3
+
+
 def test_turn_pairs(trace):
     c = M.formatted(trace, "sharegpt").first().conversations
     assert [x["from"] for x in c] == ["system", "human", "gpt", "tool", "gpt"]
