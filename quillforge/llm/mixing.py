@@ -3,8 +3,8 @@
 Each document gets the key -ln(u) / w: u a uniform number of 52 bits from a digest of its id and text, w its quality
 weight. A source's target takes as many complete epochs as fit; the rest is a weighted sample without
 replacement, the documents of least keys up to the remaining words, of which the last is taken in part. Keys are
-bucketed, so that a hot source is never sorted in one task: sums of the buckets tell in which one the rest ends,
-and only that bucket is sorted. Rows never move with their texts.
+bucketed, so that a hot source is never sorted in one task: sums of the buckets tell in which one the rest ends, that bucket
+is bucketed again while it has more than BUCKET_ROWS rows, and only the last is sorted. Rows never move with their texts.
 
 Sources by code point, null last, weigh 5, 2, 1, repeating, and share the words of all documents; a target stops at
 3 times its source's words, and the excess goes to the others by weight until none is above: the level x solves
@@ -16,6 +16,8 @@ they get at the boundary evenly; a null id is a value like any other; an empty t
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,16 @@ def small(df: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return F.broadcast(saved) if saved.count() <= BROADCAST_ROWS else saved
 
 
+def end_bucket(dealt: DataFrame, scratch: Scratch, step: int) -> DataFrame:
+    """Of each source's rows, dealt to buckets (_b) in order of their keys, those of the bucket in which its sample of ``_rest`` words ends; ``_before``: words before."""
+    sums = dealt.groupBy("source", "_b", "_rest", "_before").agg(F.sum("size").alias("_n"))
+    until = F.col("_before") + F.sum("_n").over(Window.partitionBy("source").orderBy("_b"))
+    ends = sums.withColumn("_until", until).where((F.col("_until") - F.col("_n") <= F.col("_rest")) & (F.col("_rest") < F.col("_until"))).select("source", "_b", (F.col("_until") - F.col("_n")).alias("_start"))
+    ends = small(ends, scratch, f"ends-{step}")
+    hit = dealt.alias("d").join(ends.alias("e"), F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d._b") == F.col("e._b")))
+    return scratch.save(hit.select("d.source", "key", "doc_id", "_th", "_tl", "size", "_rest", F.col("_start").alias("_before")), f"last-{step}")
+
+
 def plan_mix(rows: DataFrame, scratch: Scratch, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row a source: its target, complete epochs, and where the sample of the rest ends (key, tie, words of a row there)."""
     s = source_targets(rows, weights, max_epochs).withColumn("_full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
@@ -75,10 +87,15 @@ def plan_mix(rows: DataFrame, scratch: Scratch, weights=WEIGHTS, max_epochs: int
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
     bucket = F.floor((1 - F.exp(-F.col("key"))) * F.col("_buckets"))
     dealt = rows.alias("r").join(s.alias("s"), same("r", "s")).where(F.col("size") > 0).select("r.*", "_rest", bucket.alias("_b"))
-    sums = dealt.groupBy("source", "_b", "_rest").agg(F.sum("size").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("source").orderBy("_b")) - F.col("_n")
-    ends = small(sums.withColumn("_before", before).where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n"))).select("source", "_b", "_before"), scratch, "ends")
-    last = dealt.alias("d").join(ends.alias("e"), same("d", "e") & (F.col("d._b") == F.col("e._b"))).select("d.source", "key", "doc_id", "_th", "_tl", "size", "_rest", "_before")
+    last = end_bucket(dealt.withColumn("_before", F.lit(0).cast("long")), scratch, 0)
+    for step in itertools.count(1):  # a bucket that came out great, as weights differ, is dealt again between its least and greatest key
+        great = last.groupBy("source").agg(F.count("*").alias("_rows"), F.min("key").alias("_lo"), F.max("key").alias("_hi")).where((F.col("_rows") > BUCKET_ROWS) & (F.col("_lo") < F.col("_hi")))
+        great = small(great, scratch, f"great-{step}")
+        if not great.take(1):
+            break
+        part = F.floor((F.col("key") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.ceil(F.col("_rows") / BUCKET_ROWS)).cast("long")
+        again = last.alias("l").join(great.alias("g"), same("l", "g"), "left").select("l.*", F.coalesce(part, F.lit(0).cast("long")).alias("_b"))
+        last = end_bucket(again, scratch, step)
     ties = last.groupBy("source", "key", "doc_id", "_th", "_tl", "_rest", "_before").agg(F.sum("size").alias("_n"), F.count("*").alias("_c"))
     so_far = F.sum("_n").over(Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), "_th", "_tl")) - F.col("_n") + F.col("_before")
     end = ties.withColumn("_so", so_far).where((F.col("_so") <= F.col("_rest")) & (F.col("_rest") < F.col("_so") + F.col("_n")))

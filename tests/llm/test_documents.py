@@ -293,6 +293,17 @@ def test_higher_weights_come_sooner(spark):
     assert share(1) > share(0)
 
 
+def test_buckets_are_dealt_again(spark, monkeypatch):
+    """Low weights crowd the last buckets: these are dealt again, and the result is that of one sort."""
+    text = lambda i: " ".join(["a" * (40 if i % 10 else 6)] * (1 + i % 7))
+    docs = spark.createDataFrame([(i, text(i), "hot" if i % 3 else "b") for i in range(1500)] + [(5000 + i, "w " * 900, "a") for i in range(4)], "doc_id long, text string, source string")
+    got = []
+    for rows in (100_000, 20):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", rows)
+        got.append(sorted((r.doc_id, r.taken) for r in mixing.mix_sources(docs).collect()))
+    assert got[0] == got[1]
+
+
 def test_mix_awkward(awkward, nothing):
     got = mixing.mix_sources(awkward).collect()
     assert len(got) == awkward.count() and mixing.mix_sources(nothing).count() == 0
