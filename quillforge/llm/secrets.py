@@ -25,6 +25,9 @@ ACCESS, HEX = r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 #: Tokens that the models judge: long runs with a digit and a letter. Threshold: nats a character.
 TOKEN, MIN_MEAN_LLR = r"[A-Za-z0-9+/_=-]{20,}", 0.2
+#: A character of no text, at most, that stands for those of a span; matches whose places are summed at a time.
+FILL, CHUNK = "\ue000", 256
+TOKEN_OR_FILL = rf"[A-Za-z0-9+/_=\-{FILL}]{{20,}}"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _SIZE = len(ALPHABET) + 1  # and the start of a token
@@ -75,19 +78,40 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once: a lambda over an array of one binds it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def _spans(text: Column, found: Column, pattern: str, kind: str) -> Column:
-    """start, end and text of each match: what lies between matches, and the matches, laid end to end."""
-    n = KINDS.index(kind)
+    """start, end and text of each match: what lies between matches, and the matches, laid end to end. Places are summed in pieces of CHUNK
+    matches, each of which starts where the pieces before it end, so that no list of all matches is copied for each of them."""
+    n, none = KINDS.index(kind), F.expr("cast(array() as array<struct<s:int,k:int,e:int,m:string>>)")
+    length = lambda p: F.length(p["g"]) + F.length(p["m"])
+
+    def step(acc, p):
+        s = acc["at"] + F.length(p["g"])
+        e = s + F.length(p["m"])
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), F.lit(n).alias("k"), e.alias("e"), p["m"].alias("m")))).alias("out"))
+
+    def placed(pairs):
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int")), lambda i: F.slice(pairs, i * CHUNK + 1, CHUNK))
+        sums = lambda ps: F.transform(ps, lambda p: F.aggregate(p, F.lit(0), lambda acc, x: acc + length(x)))
+        starts = lambda ps: F.aggregate(sums(ps), F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        laid = lambda ps: F.flatten(F.transform(F.arrays_zip(ps.alias("p"), F.slice(starts(ps), 1, F.size(ps)).alias("at")), lambda z: F.aggregate(z["p"], F.struct(z["at"].alias("at"), none.alias("out")), step, lambda acc: acc["out"])))
+        return _bound(pieces, laid)
+
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,k:int,e:int,m:string>>)").alias("out"))
+    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("g"), found.alias("m"))
+    return F.when(F.size(found) == 0, none).otherwise(_bound(pairs, placed))
 
-    def step(acc, pair):
-        s = acc["at"] + F.length(pair["g"])
-        e = s + F.length(pair["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), F.lit(n).alias("k"), e.alias("e"), pair["m"].alias("m")))).alias("out"))
 
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("g"), found.alias("m"))
-    return F.when(F.size(found) == 0, zero["out"]).otherwise(F.aggregate(pairs, zero, step, lambda acc: acc["out"]))
+def _blanked(text: Column, pattern: str, valid=lambda m: F.lit(True)) -> Column:
+    """``text`` with FILL for each character of the matches that are valid: the same length, in one pass."""
+    found = _matches(text, pattern)
+    piece = lambda g, m: F.concat(g, F.when(valid(m), F.repeat(F.lit(FILL), F.length(m))).otherwise(m))
+    blank = F.array_join(F.zip_with(F.split(text, pattern, -1), F.concat(found, F.array(F.lit(""))), piece), "")
+    return F.when(F.size(found) == 0, text).otherwise(blank)
 
 
 def _listed(spans: Column) -> Column:
@@ -95,17 +119,37 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(kinds, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def _is_assigned(m: Column) -> Column:
+    return F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8
+
+
+def _without_shapes() -> list:
+    """What to make of a text in turn: FILL goes, then the fixed shapes become FILL. An assignment's name may end an access key; what stands before it goes too."""
+    rest = rf"{ACCESS}|AKIA[A-Z0-9]*(?={FILL})"
+    return [lambda t: F.translate(t, FILL, " "), lambda t: _blanked(t, ASSIGN, _is_assigned), lambda t: _blanked(t, rest), lambda t: _blanked(t, HEX)]
+
+
+def _is_random(m: Column, ratios: list[float], min_mean_llr: float) -> Column:
+    return ~m.contains(FILL) & m.rlike("[0-9]") & m.rlike("[A-Za-z]") & F.when(~m.contains(FILL), mean_llr(m, ratios) >= min_mean_llr).otherwise(False)
+
+
+def _plain(found: DataFrame) -> DataFrame:
+    """With ``_plain``, the text without its fixed shapes: a token that touches one holds FILL there."""
+    out = found.withColumn("_plain", F.coalesce(F.col("text"), F.lit("")))
+    for f in _without_shapes():
+        out = out.withColumn("_plain", f(F.col("_plain")))
+    return out
+
+
 def scan_secrets(docs: DataFrame, ratios: list[float] | None = None, min_mean_llr: float = MIN_MEAN_LLR) -> DataFrame:
     """``docs`` with ``_base`` and ``_markov``: arrays of the spans (s, k, e, m) of the fixed shapes and of the models."""
     ratios = ratios or train(labelled_samples(docs.sparkSession))
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.withColumns({"_a": _matches(text, ASSIGN), "_x": _matches(text, ACCESS), "_h": _matches(text, HEX), "_t": _matches(text, TOKEN)})
-    spans = found.withColumns({f"_{c}s": _spans(text, F.col(f"_{c}"), p, k) for c, p, k in (("a", ASSIGN, "assign"), ("x", ACCESS, "access"), ("h", HEX, "hex"), ("t", TOKEN, "markov"))})
-    assigned = F.filter("_as", lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 8)
-    base = spans.withColumn("_base", F.array_sort(F.concat(assigned, F.col("_xs"), F.col("_hs"))))
-    free = F.filter("_ts", lambda t: t["m"].rlike("[0-9]") & t["m"].rlike("[A-Za-z]") & ~F.exists("_base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
-    judged = base.withColumn("_markov", F.filter(free, lambda t: mean_llr(t["m"], ratios) >= min_mean_llr))
-    return judged.drop("_a", "_x", "_h", "_t", "_as", "_xs", "_hs", "_ts")
+    found = _plain(docs).withColumns({"_a": _matches(text, ASSIGN), "_x": _matches(text, ACCESS), "_h": _matches(text, HEX), "_t": _matches(F.col("_plain"), TOKEN_OR_FILL)})
+    spans = found.withColumns({f"_{c}s": _spans(t, F.col(f"_{c}"), p, k) for c, t, p, k in (("a", text, ASSIGN, "assign"), ("x", text, ACCESS, "access"), ("h", text, HEX, "hex"), ("t", F.col("_plain"), TOKEN_OR_FILL, "markov"))})
+    base = spans.withColumn("_base", F.array_sort(F.concat(F.filter("_as", lambda x: _is_assigned(x["m"])), F.col("_xs"), F.col("_hs"))))
+    judged = base.withColumn("_markov", F.filter("_ts", lambda t: _is_random(t["m"], ratios, min_mean_llr)))
+    return judged.drop("_a", "_x", "_h", "_t", "_as", "_xs", "_hs", "_ts", "_plain")
 
 
 def secret_report(docs: DataFrame, **options) -> DataFrame:
@@ -115,15 +159,11 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
     return s.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(_listed(F.col("_base")), 256).alias("base_sha256"), _listed(F.array_sort(F.concat("_base", "_markov"))).alias("spans"), F.size("_markov").cast("long").alias("n_markov"))
 
 
-def redact_secrets(docs: DataFrame, **options) -> DataFrame:
-    """``docs``, same columns, with every span in the text replaced by ``[SECRET]``; overlapping spans become one."""
-    s = scan_secrets(docs.select(as_struct(docs).alias("doc"), "text"), **options).withColumn("_all", F.array_sort(F.concat("_base", "_markov")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        gap = F.substr(F.col("text"), acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        out = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit("[SECRET]")))
-        return F.when(x["e"] <= acc["at"], acc).otherwise(F.struct(x["e"].alias("at"), out.alias("out")))
-
-    text = F.when(F.size("_all") == 0, F.col("text")).otherwise(F.aggregate("_all", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1))))
+def redact_secrets(docs: DataFrame, ratios: list[float] | None = None, min_mean_llr: float = MIN_MEAN_LLR) -> DataFrame:
+    """``docs``, same columns, with every span in the text replaced by ``[SECRET]``; spans that overlap or touch become one. A text with a span
+    has a space where FILL stood."""
+    ratios = ratios or train(labelled_samples(docs.sparkSession))
+    s = _plain(docs.select(as_struct(docs).alias("doc"), "text"))
+    s = s.withColumn("_plain", _blanked(F.col("_plain"), TOKEN_OR_FILL, lambda m: _is_random(m, ratios, min_mean_llr)))
+    text = F.when(F.col("_plain").contains(FILL), F.regexp_replace("_plain", f"{FILL}+", "[SECRET]")).otherwise(F.col("text"))
     return s.select(F.col("doc").withField("text", text).alias("doc")).select("doc.*")

@@ -230,6 +230,20 @@ def test_ogg_damage_is_seen():
     assert ogg.features(b"") [3] is False and ogg.features(bytes(media[:1000]))[3] is False
 
 
+def test_many_spans_in_one_text(spark):
+    """Places run on over the pieces in which they are summed; a token that touches a fixed shape, or ends where one starts, is none of its own."""
+    hexes, key = "0af3" * 8, "q8Zt7KpX" * 4
+    text = f"{hexes} é {key} " * 900 + f"{key}{hexes} x AKIA12345678SECRET=abcdefgh12 \ue000"
+    r = secrets.secret_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    step = len(hexes) + len(key) + 4
+    want = [x for k in range(900) for x in (f"hex:{k * step}:{k * step + 32}", f"markov:{k * step + 35}:{k * step + 67}")]
+    end = 900 * step + 32
+    want += [f"hex:{end}:{end + 32}", f"access:{end + 35}:{end + 53}", f"assign:{end + 47}:{end + 64}"]
+    assert r.spans.split(",") == want and r.n_hex == 901
+    clean = secrets.redact_secrets(spark.createDataFrame([(1, text), (2, "clean \ue000")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert clean[0].text == "[SECRET] é [SECRET] " * 900 + f"{key}[SECRET] x [SECRET]  " and clean[1].text == "clean \ue000"
+
+
 def test_ogg_timestamps():
     s, bad = ogg.decode(ogg.encode(bytes(10_000), 10_000, 4000, 8000))
     assert ogg.timestamps(s[ogg.SAMPLES], 8000) == [0.5, 1.0, 1.25] and bad == 0
