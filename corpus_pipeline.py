@@ -4,6 +4,10 @@ Every stage takes all that its predecessor kept, written as Parquet and read aga
 ``documents``; the last returns packed sequences. Quality rules reject documents; of each group of near-duplicates
 (five-word shingles, similarity 0.8) one stays; secrets in texts are replaced; sources are mixed to their target
 weights, a document standing there as often as it is taken; texts become sequences of power-of-two lengths.
+
+Defined results: documents with a null or empty text, as all under the least number of words, go in the first stage; nulls in other columns
+are values like any other; of rows equal in text one goes on, the one of the least id; texts are taken whole, however long; columns
+besides those of ``documents``, whatever their names, are handed on up to packing; an empty table gives no rows.
 """
 
 from __future__ import annotations

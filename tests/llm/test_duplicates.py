@@ -275,3 +275,16 @@ def test_pipeline_keeps_what_plain_versions_keep(spark, tmp_path):
         if r.start == 0:
             got[(r.doc_id, r.doc_tokens)] += 1
     assert got == want and sum(r.length for r in out) == sum(n * c for (_, n), c in want.items())
+
+
+def test_pipeline_awkward(awkward, nothing, spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and clashing names; of equal texts one row goes on. An empty table gives none."""
+    for name, docs in (("some", awkward), ("none", nothing)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    prose = awkward.where("doc_id = 0 and text like '% %' and text not like 'another%'").first().text
+    ids = {r.doc_id for r in out}
+    assert ids <= {r.doc_id for r in awkward.where("length(text) >= 50").collect()} and len(ids & {None, 0, 1, 8}) <= 1 and len(prose) > 50
+    whole = Counter((r.doc_id, r.start) for r in out)
+    assert all(sum(r.length for r in out if r.doc_id == i) == whole[(i, 0)] * next(r.doc_tokens for r in out if r.doc_id == i) for i in ids)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
