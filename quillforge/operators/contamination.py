@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .checkpoints import materialised
 
 PERMUTATIONS, PRIME, SIMILAR = 128, (1 << 61) - 1, 0.8
 #: Rows of a build side, of about 60 bytes each, up to which it is broadcast.
@@ -17,8 +18,8 @@ BROADCAST_ROWS = 500_000
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """``df`` for the build side of a join: broadcast if it is counted to be small, else left to a shuffled join."""
-    df = df.cache()
+    """``df``, saved, for the build side of a join: broadcast if it is counted to be small, else left to a shuffled join."""
+    df = materialised(df)
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
@@ -104,11 +105,22 @@ def _mulmod(h: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.where(out >= m, out - m, out)
 
 
+def run_hashes(texts: DataFrame, keys: list[str], n: int = T.NGRAM) -> DataFrame:
+    """``keys`` and runs array<long>: a 64-bit hash of each n-gram of ``text``; of a text under n tokens that of its whole token run, of one
+    without tokens none."""
+    rows = texts.select(*keys, T.tokens(F.col("text")).alias("toks"))
+    runs = F.when(F.size("toks") >= n, T.ngrams(F.col("toks"), n, F.xxhash64)).when(F.size("toks") > 0, F.array(F.xxhash64("toks"))).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return rows.select(*keys, runs.alias("runs"))
+
+
 def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n: int = T.NGRAM) -> DataFrame:
     """``keys`` and sig array<long>: minima over the distinct n-grams of each text; a text with no token has zeros, one under n tokens its
     whole token run as the only n-gram. Token runs are hashed in the JVM; only hashes reach Python, in Arrow batches."""
-    toks = T.tokens(F.col("text"))
-    runs = F.when(F.size("toks") >= n, T.ngrams(F.col("toks"), n, F.xxhash64)).when(F.size("toks") > 0, F.array(F.xxhash64("toks"))).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return sign(run_hashes(texts, keys, n), keys, n_perm)
+
+
+def sign(rows: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS) -> DataFrame:
+    """Signatures of saved ``run_hashes``."""
     a, b = (np.array(c, np.uint64)[None, :] for c in zip(*parameters(n_perm)))
 
     def minima(h: np.ndarray) -> np.ndarray:
@@ -118,7 +130,7 @@ def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n:
             least = np.minimum(least, np.where(sums >= np.uint64(PRIME), sums - np.uint64(PRIME), sums).min(axis=0))
         return least.astype(np.int64) if len(h) else np.zeros(n_perm, np.int64)
 
-    def sign(batches):
+    def signed(batches):
         for batch in batches:
             out = []
             for row in batch.column(len(keys)):
@@ -126,8 +138,7 @@ def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n:
                 out.append(minima(h))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(out, pa.list_(pa.int64()))], names=[*keys, "sig"])
 
-    rows = texts.select(*keys, toks.alias("toks")).select(*keys, runs.alias("runs"))
-    return rows.mapInArrow(sign, rows.select(*keys, F.expr("cast(array() as array<bigint>)").alias("sig")).schema)
+    return rows.select(*keys, "runs").mapInArrow(signed, rows.select(*keys, F.expr("cast(array() as array<bigint>)").alias("sig")).schema)
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from . import contamination as C
 from .checkpoints import materialised
 
 NEAR, BANDS = 0.85, 20
+#: Open classes, of about a kilobyte each, that one pass of the driver settles.
+TAIL = 4096
 PROMPT_FIELDS = ("task_prompt", "prompt", "instruction", "question", "query", "task", "user_prompt")
 BODY_FIELDS = ("input", "content", "text", "body")
 
@@ -40,55 +44,97 @@ def ngram_set_key(toks: Column) -> Column:
     return T.bound(toks, lambda t: T.sha256(F.array_join(F.sort_array(F.array_distinct(F.when(F.size(t) >= T.NGRAM, T.ngrams(t, key=F.xxhash64)).otherwise(F.array(F.xxhash64(t))))), ",")))
 
 
-def near_pairs(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BANDS, n_perm: int = C.PERMUTATIONS) -> DataFrame:
-    """(lo, hi, jaccard) of pairs whose signatures agree in a share of ``cut`` or more. No pair is missed: with fewer disagreeing
-    places than bands, one band at least agrees whole."""
+def accept_similar(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BANDS, n_perm: int = C.PERMUTATIONS, tail: int = TAIL) -> DataFrame:
+    """key, survivor and jaccard of each row of ``signed`` (key, sig): what taking rows in rising order of key would do, each accepted
+    (survivor null) unless its signature agrees in a share of ``cut`` or more with an accepted one's, the least of which survives it.
+
+    Rows of equal signatures are one class under their least key. With fewer disagreeing places than bands one band at least agrees whole,
+    so only classes that share a band can meet. A round accepts the classes that are the least open ones in all their bands; each band has one
+    such at most, so a class is compared with no more than ``bands`` of them and no pair of a bucket is made. When ``tail`` open classes or fewer
+    are left, one pass over their signatures settles them."""
     if n_perm - int(-(-cut * n_perm // 1)) >= bands:
         raise ValueError("more bands are needed for this cut")
+    spark = signed.sparkSession
+    signed = materialised(signed.select(F.col(key).alias("key"), "sig", T.run_hash(F.col("sig")).alias("_s")))
+    members = materialised(signed.select("key", "_s").join(signed.groupBy("_s").agg(F.min("key").alias("rep")), "_s").select("key", "rep"))
+    nodes = materialised(signed.join(members.where("key = rep").select("key"), "key", "left_semi").select(F.col("key").alias("node"), "sig"))
     edges = [n_perm * b // bands for b in range(bands + 1)]
     band = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", edges[b] + 1, edges[b + 1] - edges[b])) for b in range(bands)])
-    signed = materialised(signed)  # read three times below
-    rows = signed.select(key, F.explode(band).alias("band"))
-    shared = rows.groupBy("band").count().where("count > 1").select("band")
-    rows = rows.join(shared, "band")
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col(f"a.{key}") < F.col(f"b.{key}"))).select(F.col(f"a.{key}").alias("lo"), F.col(f"b.{key}").alias("hi")).distinct()
-    of = lambda c, s: signed.select(F.col(key).alias(c), F.col("sig").alias(s))
-    return pairs.join(of("lo", "_a"), "lo").join(of("hi", "_b"), "hi").select("lo", "hi", C.similarity(F.col("_a"), F.col("_b")).alias("jaccard")).where(F.col("jaccard") >= cut)
-
-
-def accept_in_order(edges: DataFrame) -> DataFrame:
-    """(node, accepted) of all nodes of ``edges`` (lo, hi): what taking nodes in rising order would accept, each if no accepted
-    one is its neighbour. A round accepts all nodes that no undecided or accepted lower one touches, and rejects the accepted
-    ones' neighbours; there are as many rounds as the longest chain of decisions needs."""
-    edges = materialised(edges.select("lo", "hi"))
-    state = materialised(edges.select(F.col("lo").alias("node")).union(edges.select("hi")).distinct().withColumn("accepted", F.lit(None).cast("boolean")))
-    while state.where("accepted is null").take(1):
-        lower = edges.join(state.withColumnRenamed("node", "lo"), "lo").groupBy(F.col("hi").alias("node")).agg(F.bool_or(F.coalesce("accepted", F.lit(False))).alias("beaten"), F.bool_or(F.col("accepted").isNull()).alias("waits"))
-        fresh = F.when(F.coalesce("beaten", F.lit(False)), False).when(F.coalesce("waits", F.lit(False)), F.lit(None)).otherwise(True)
-        state = materialised(state.join(lower, "node", "left").select("node", F.coalesce("accepted", fresh).alias("accepted")))
-    return state
+    rows = nodes.select("node", F.explode(band).alias("band"))
+    rows = materialised(rows.join(rows.groupBy("band").count().where("count > 1").select("band"), "band"))
+    state = materialised(rows.select("node").distinct().select("node", F.lit(False).alias("accepted"), F.lit(None).cast("long").alias("survivor"), F.lit(None).cast("double").alias("jaccard")))
+    sig = lambda c, s: nodes.select(F.col("node").alias(c), F.col("sig").alias(s))
+    while (left := state.where("not accepted and survivor is null")).limit(tail + 1).count() > tail:
+        at = rows.join(left.select("node"), "node")
+        least = materialised(at.groupBy("band").agg(F.min("node").alias("lead")))
+        leads = materialised(at.join(least, "band").groupBy(F.col("node").alias("lead")).agg(F.bool_and(F.col("node") == F.col("lead")).alias("all")).where("all").select("lead"))
+        rest = state.where("not accepted").select("node", "survivor").join(leads.select(F.col("lead").alias("node")), "node", "left_anti")
+        met = rows.join(least.join(leads, "lead", "left_semi"), "band").join(rest, "node").where("lead < coalesce(survivor, node)").select("node", "lead").distinct()
+        agree = met.join(sig("node", "_a"), "node").join(sig("lead", "_b"), "lead").select("node", "lead", C.similarity(F.col("_a"), F.col("_b")).alias("j")).where(F.col("j") >= cut)
+        hits = agree.groupBy("node").agg(F.min_by(F.struct("lead", "j"), "lead").alias("w"))
+        fresh = state.join(hits, "node", "left").join(leads.select(F.col("lead").alias("node"), F.lit(True).alias("_lead")), "node", "left")
+        state = materialised(fresh.select("node", (F.col("accepted") | F.coalesce("_lead", F.lit(False))).alias("accepted"), F.coalesce("w.lead", "survivor").alias("survivor"), F.coalesce("w.j", "jaccard").alias("jaccard")))
+    last = _settled(left.join(nodes, "node").select("node", "sig").orderBy("node").collect(), cut, n_perm)
+    open_ = spark.createDataFrame([(n, s, j) for n, s, j, _ in last], "node long, _s long, _j double")
+    taken = [(n, g) for n, s, _, g in last if s is None]
+    beaten = _lesser(state.where("survivor is not null").select("node", "survivor", "jaccard").join(nodes, "node"), taken, cut, n_perm)
+    placed = state.where("accepted").select("node", "survivor", "jaccard").unionByName(beaten).unionByName(open_.select("node", F.col("_s").alias("survivor"), F.col("_j").alias("jaccard")))
+    lost = placed.where("survivor is not null").withColumnRenamed("node", "rep")
+    out = members.join(lost, "rep", "left")
+    of = F.coalesce("survivor", F.when(F.col("key") != F.col("rep"), F.col("rep")))
+    return out.select(F.col("key").alias(key), of.alias("survivor"), F.when(of.isNotNull(), F.coalesce("jaccard", F.lit(1.0))).alias("jaccard"))
+
+
+def _settled(rows: list, cut: float, n_perm: int) -> list:
+    """(node, survivor, jaccard, sig) of a bounded list of open classes in rising order."""
+    taken, ids, out = np.empty((len(rows), n_perm), np.int64), [], []
+    for node, sig in rows:
+        v = np.asarray(sig, np.int64)
+        share = (taken[: len(ids)] == v).sum(axis=1) / n_perm
+        near = np.flatnonzero(share >= cut)
+        if len(near):
+            out.append((node, ids[near[0]], float(share[near[0]]), v))
+        else:
+            taken[len(ids)] = v
+            ids.append(node)
+            out.append((node, None, None, v))
+    return out
+
+
+def _lesser(beaten: DataFrame, taken: list, cut: float, n_perm: int) -> DataFrame:
+    """``beaten`` (node, survivor, jaccard, sig) with the least survivor also among ``taken``, the bounded rest that was settled last."""
+    ids, sigs = np.array([n for n, _ in taken], np.int64), np.array([g for _, g in taken], np.int64).reshape(-1, n_perm)
+
+    def hold(batches):
+        for b in batches:
+            out = []
+            for survivor, jaccard, sig in zip(b["survivor"].to_pylist(), b["jaccard"].to_pylist(), b["sig"]):
+                share = (sigs[: np.searchsorted(ids, survivor)] == np.asarray(sig.values, np.int64)).sum(axis=1) / n_perm
+                near = np.flatnonzero(share >= cut)
+                out.append((int(ids[near[0]]), float(share[near[0]])) if len(near) else (survivor, jaccard))
+            yield pa.RecordBatch.from_arrays([b["node"], pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.float64())], names=["node", "survivor", "jaccard"])
+
+    return beaten.mapInArrow(hold, "node long, survivor long, jaccard double")
 
 
 def audit(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cut: float = NEAR) -> DataFrame:
     """key, status (CONTAMINATED, DUPLICATE_EXACT, DUPLICATE_MINHASH or CLEAN), duplicate_of and jaccard, in order of ``key``.
 
-    Equal texts have equal n-gram sets, and these equal signatures, so one seed of each set stands for all in the graph; the
-    others are exact duplicates of it if it is accepted, and near-duplicates of what beat it otherwise."""
-    dirty = materialised(C.ngram_hits(docs, C.postings(benchmark), [key]).select(key).distinct())  # read three times below
-    clean = docs.join(dirty, key, "left_anti")
-    toks = clean.select(key, "text", T.tokens(F.col("text")).alias("toks"))
-    keyed = materialised(toks.select(key, ngram_set_key(F.col("toks")).alias("set_key")))
+    Texts are tokenised once, into saved hashes of their n-grams: these name the texts that can hold one of the benchmark (which the n-grams
+    themselves then decide), the equal sets and the signatures. Equal texts have equal n-gram sets, and these equal signatures, so one seed of each set
+    stands for all; the others are exact duplicates of it if it is accepted, and near-duplicates of what beat it otherwise."""
+    runs = materialised(C.run_hashes(docs, [key]))
+    index = C.postings(benchmark)
+    may = runs.select(key, F.explode("runs").alias("a")).join(C.sized(index.select("h.a").distinct()), "a", "left_semi").select(key).distinct()
+    dirty = materialised(C.ngram_hits(docs.join(may, key, "left_semi"), index, [key]).select(key).distinct())
+    clean = runs.join(dirty, key, "left_anti")
+    keyed = materialised(clean.select(key, T.sha256(F.array_join(F.sort_array(F.array_distinct("runs")), ",")).alias("set_key")))
     reps = keyed.groupBy("set_key").agg(F.min(key).alias("rep"))
-    alone = clean.join(reps.select(F.col("rep").alias(key)), key, "left_semi")
-    pairs = materialised(near_pairs(C.signatures(alone, [key]), key, cut))
-    state = accept_in_order(pairs)
-    beat = pairs.join(state.where("accepted").select(F.col("node").alias("lo")), "lo").groupBy(F.col("hi").alias("rep")).agg(F.min_by(F.struct("lo", "jaccard"), "lo").alias("w"))
-    lost = beat.join(state.where("not accepted").select(F.col("node").alias("rep")), "rep")
+    lost = accept_similar(C.sign(clean.join(reps.select(F.col("rep").alias(key)), key, "left_semi"), [key]), key, cut).where("survivor is not null").withColumnRenamed(key, "rep")
     placed = keyed.join(reps, "set_key").join(lost, "rep", "left")
-    status = F.when(F.col("w").isNotNull(), "DUPLICATE_MINHASH").when(F.col(key) == F.col("rep"), "CLEAN").otherwise("DUPLICATE_EXACT")
-    of = F.when(F.col("w").isNotNull(), F.col("w.lo")).when(F.col(key) != F.col("rep"), F.col("rep"))
-    found = placed.select(key, status.alias("status"), of.alias("duplicate_of"), F.when(F.col("w").isNotNull(), F.col("w.jaccard")).when(F.col(key) != F.col("rep"), 1.0).alias("jaccard"))
+    near, same = F.col("survivor").isNotNull(), F.col(key) != F.col("rep")
+    status = F.when(near, "DUPLICATE_MINHASH").when(same, "DUPLICATE_EXACT").otherwise("CLEAN")
+    found = placed.select(key, status.alias("status"), F.when(near, F.col("survivor")).when(same, F.col("rep")).alias("duplicate_of"), F.when(near, F.col("jaccard")).when(same, 1.0).alias("jaccard"))
     return found.unionByName(dirty.select(key, F.lit("CONTAMINATED").alias("status"), F.lit(None).cast("long").alias("duplicate_of"), F.lit(None).cast("double").alias("jaccard")))
 
 

@@ -25,7 +25,7 @@ def sanitise(df: DataFrame, text: str = "text", home: str | None = None, rules=P
     """``df`` with ``clean_text``, its findings, how many are left in it when it is scanned again, and ``is_clean``."""
     source = df.withColumn(text, P.own_home(F.col(text), home)) if home else df
     out = scan(source, text, rules).withColumn("clean_text", P.redact(F.coalesce(F.col(text), F.lit("")), F.col("applied")))
-    again = F.size(P.chosen(P.all_spans(F.col("clean_text"), rules)))
+    again = F.when(F.size("applied") > 0, F.size(P.chosen(P.all_spans(F.col("clean_text"), rules)))).otherwise(0)  # an unchanged text has none
     return out.withColumn("n_residual", again).withColumn("is_clean", F.col("n_residual") == 0)
 
 

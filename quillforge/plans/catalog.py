@@ -22,5 +22,12 @@ def query(name: str, oracle: str | None = None):
     return put
 
 
+#: Tables whose rows are texts, so that a row's work outweighs moving it.
+TEXTS = ("documents", "conversations", "pages")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table. Texts of a scan with fewer splits than cores (a small file of one row group) are dealt out first, as each would be one task's work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in TEXTS and df.rdd.getNumPartitions() < cores else df

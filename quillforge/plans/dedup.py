@@ -26,7 +26,8 @@ def dedup_ngram_set(spark, d):
 
 @query("dedup_near_pairs")
 def dedup_near_pairs(spark, d):
-    return D.near_pairs(C.signatures(read(spark, d, "documents"), ["doc_id"]), "doc_id")
+    found = D.accept_similar(C.signatures(read(spark, d, "documents"), ["doc_id"]), "doc_id")
+    return found.where("survivor is not null").select(F.col("survivor").alias("lo"), F.col("doc_id").alias("hi"), "jaccard")
 
 
 @query("dedup_audit")

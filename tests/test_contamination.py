@@ -68,25 +68,37 @@ def test_most_similar(spark, bench):
     assert got[1].similarity == 0.0 and got[1].item_id is None and got[2].similarity == 0.0
 
 
-def sequential(n, edges):
-    near = {i: set() for i in range(n)}
-    for a, b in edges:
-        near[a].add(b)
-        near[b].add(a)
-    accepted = set()
-    for i in range(n):
-        if not near[i] & accepted:
-            accepted.add(i)
-    return accepted
-
-
-def test_acceptance_in_order(spark):
+def sequential(sigs, cut):
+    """Survivor of each key by the plain pass: the first accepted signature that agrees enough."""
+    taken, out = [], {}
+    for k in sorted(sigs):
+        near = [a for a in taken if sum(x == y for x, y in zip(sigs[a], sigs[k])) / len(sigs[k]) >= cut]
+        out[k] = near[0] if near else None
+        taken += [] if near else [k]
+    return out
+
+
+@pytest.mark.parametrize("tail", [0, 3, 1000])
+def test_acceptance_in_order(spark, tail):
+    """Chains in which each is near the next only, equal signatures, and a lesser survivor that is accepted in a later round."""
     rng = random.Random(3)
-    for trial in range(3):
-        edges = sorted({tuple(sorted(rng.sample(range(14), 2))) for _ in range(18)}) if trial else [(i, i + 1) for i in range(6)]
-        state = {r.node: r.accepted for r in D.accept_in_order(spark.createDataFrame(edges, "lo long, hi long")).collect()}
-        want = sequential(14, edges)
-        assert {k for k, v in state.items() if v} == {k for k in state if k in want}
+    sigs, at = {}, [rng.randrange(50) for _ in range(40)]
+    for k in rng.sample(range(1000), 60):
+        for _ in range(rng.randrange(5)):
+            at[rng.randrange(40)] = rng.randrange(10**6)
+        sigs[k] = list(at)
+    sigs |= {2000 + k: sigs[s] for k, s in enumerate(list(sigs)[:5])}
+    df = spark.createDataFrame(list(sigs.items()), "doc_id long, sig array<long>")
+    got = {r.doc_id: r for r in D.accept_similar(df, "doc_id", 0.85, 7, 40, tail).collect()}
+    want = sequential(sigs, 0.85)
+    assert {k: r.survivor for k, r in got.items()} == want and len(set(want.values())) > 5
+    assert all(r.jaccard >= 0.85 for r in got.values() if r.survivor is not None)
+
+
+def test_many_equal_texts_make_no_pairs(spark):
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.array(*[F.lit(7).cast("long")] * 128).alias("sig"))
+    out = D.accept_similar(df, "doc_id")
+    assert out.count() == 1000 and out.where("survivor = 0 and jaccard = 1.0").count() == 999
 
 
 def test_audit(spark, bench):
