@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checkpoints import numbered
+
 TOOL_CALLS = "array<struct<id:string,name:string,arguments:string>>"
 MESSAGE = f"struct<role:string,content:string,reasoning:string,tool_calls:{TOOL_CALLS},tool_call_id:string,name:string,loss_weight:double>"
 #: The event types that become messages, by role, and the names their content goes by in a payload. Other events become none.
@@ -120,11 +122,11 @@ def output_message_groups(turns: DataFrame, key: str = "conv_id", order: str = "
     return rows.withColumn("_opens", opens).withColumn("message_no", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("_opens")
 
 
-def typed_rows(df: DataFrame, messages: str = "messages", ident: Column | None = None, split: Column | None = None) -> DataFrame:
-    """Rows of the typed tables: id (row_%07d by default), split (train), messages, metadata_json; null contents are empty."""
-    n = F.monotonically_increasing_id()
+def typed_rows(df: DataFrame, order: list[str], messages: str = "messages", ident: Column | None = None, split: Column | None = None) -> DataFrame:
+    """Rows of the typed tables: id (row_%07d by the order in all by default), split (train), messages, metadata_json; null contents are empty."""
     rest = [c for c in df.columns if c != messages]
-    return df.select(F.coalesce(ident if ident is not None else F.lit(None).cast("string"), F.format_string("row_%07d", n)).alias("id"), F.coalesce(split if split is not None else F.lit(None).cast("string"), F.lit("train")).alias("split"), chat_format(F.col(messages)).alias("messages"), F.to_json(F.struct(*rest)).alias("metadata_json"))
+    given = df.withColumns({"_all": F.lit(""), "_id": ident if ident is not None else F.lit(None).cast("string"), "_split": F.coalesce(split if split is not None else F.lit(None).cast("string"), F.lit("train"))})
+    return numbered(given, "_all", order).select(F.coalesce("_id", F.format_string("row_%07d", "row_index")).alias("id"), F.col("_split").alias("split"), chat_format(F.col(messages)).alias("messages"), F.to_json(F.struct(*rest)).alias("metadata_json"))
 
 
 def recipe_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -135,12 +137,6 @@ def recipe_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def shards(df: DataFrame, order: list[str], split: str, size: int) -> DataFrame:
-    """``df`` with row_index, dense within a split in an order, shard and file name. Row numbers come from counts of ranges, so no
-    split is sorted in one task."""
-    ranged = df.repartitionByRange(split, *order).sortWithinPartitions(split, *order).withColumn("_p", F.spark_partition_id()).withColumn("_k", F.monotonically_increasing_id())
-    counts = ranged.groupBy(split, "_p").agg(F.count("*").alias("_n"), F.min("_k").alias("_first"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(split).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranged.join(F.broadcast(counts.select(F.col(split).alias("_s"), F.col("_p").alias("_q"), before.alias("_before"), "_first")), (F.col("_p") == F.col("_q")) & F.col(split).eqNullSafe(F.col("_s")))
-    index = F.col("_before") + F.col("_k") - F.col("_first")
-    out = placed.withColumns({"row_index": index.cast("long"), "shard": F.floor(index / size).cast("long")})
-    return out.withColumn("file", F.concat(F.col(split), F.format_string("-%05d", "shard"))).drop("_p", "_k", "_q", "_s", "_before", "_first")
+    """``df`` with row_index, dense within a split in an order, shard and file name."""
+    out = numbered(df, split, order).withColumn("shard", F.floor(F.col("row_index") / size).cast("long"))
+    return out.withColumn("file", F.concat(F.col(split), F.format_string("-%05d", "shard")))

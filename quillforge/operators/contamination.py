@@ -10,17 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .checkpoints import materialised
+from .checkpoints import sized
 
 PERMUTATIONS, PRIME, SIMILAR = 128, (1 << 61) - 1, 0.8
-#: Rows of a build side, of about 60 bytes each, up to which it is broadcast.
-BROADCAST_ROWS = 500_000
-
-
-def sized(df: DataFrame) -> DataFrame:
-    """``df``, saved, for the build side of a join: broadcast if it is counted to be small, else left to a shuffled join."""
-    df = materialised(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def postings(benchmark: DataFrame, name: str = "benchmark", n: int = T.NGRAM) -> DataFrame:

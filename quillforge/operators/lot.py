@@ -7,11 +7,12 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import suite
+from .checkpoints import materialised, numbered
 
 ARTEFACTS = ("manifest.json", "dataset/train.jsonl", "dataset/validation.jsonl", "record_map.jsonl", "decisions.jsonl", "sources.jsonl", "spec.json", "rubric.json", "datacard.json", "SHA256SUMS")
 MIN_RECORDS = 1
@@ -40,9 +41,9 @@ def split_leaks(rows: DataFrame) -> DataFrame:
 
 def row_map(rows: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
     """record_id, split, row_index (from 0, by split, in order), row_sha256 of the canonical row, and the ingot it came from."""
-    index = F.row_number().over(Window.partitionBy("split").orderBy(*order)) - 1
     digest = T.sha256(T.canonical_json(F.to_json(F.struct(*columns))))
-    return rows.select(F.concat(F.col("split"), F.format_string("-%07d", index)).alias("record_id"), "split", index.cast("long").alias("row_index"), digest.alias("row_sha256"), "ingot_id", "ingot_sha256", "decision_id")
+    kept = rows.select("split", *[c for c in order if c not in ("split", "ingot_id", "ingot_sha256", "decision_id")], digest.alias("row_sha256"), "ingot_id", "ingot_sha256", "decision_id")
+    return numbered(kept, "split", order).select(F.concat(F.col("split"), F.format_string("-%07d", "row_index")).alias("record_id"), "split", "row_index", "row_sha256", "ingot_id", "ingot_sha256", "decision_id")
 
 
 def tree_digest(files: DataFrame, group: list[str]) -> DataFrame:
@@ -84,7 +85,10 @@ def substance(dataset: DataFrame, minimum: int = MIN_RECORDS, min_turns: int = 1
 
 
 def verify_lot(spark: SparkSession, mapped: DataFrame, dataset: DataFrame, sources: DataFrame, decisions: DataFrame, folder: str | None = None, **floor) -> DataFrame:
-    """All checks of a lot as (check, ok, detail)."""
+    """All checks of a lot as (check, ok, detail). What a dozen checks read (keys, digests, roles; no contents) is saved once."""
+    mapped, decisions = materialised(mapped), materialised(decisions.select("decision_id", "ingot_id", "ingot_sha256", "decision"))
+    sources = materialised(sources.select("ingot_id", "ingot_sha256"))
+    dataset = materialised(dataset.select("split", "row_index", "row_sha256", "split_group_id", F.transform("messages", lambda m: F.struct(m["role"].alias("role"))).alias("messages")))
     train = dataset.where("split in ('train', 'validation')")
     held, excluded = dataset.where("split = 'eval'"), decisions.where("decision <> 'INCLUDE'")
     checks = verify_map(mapped, dataset, sources, decisions) + substance(dataset, **floor)

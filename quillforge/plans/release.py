@@ -64,8 +64,8 @@ def file_digest_tree(spark, d):
 
 def lot(spark, d):
     """Sources, decisions, rows and the row map of a lot made of ``documents``."""
-    docs = read(spark, d, "documents")
-    ingots = docs.select(F.concat(F.lit("ing-"), F.col("doc_id").cast("string")).alias("ingot_id"), T.sha256(F.coalesce("text", F.lit(""))).alias("ingot_sha256"), F.concat("source", F.lit("/"), (F.col("doc_id") % 50).cast("string")).alias("split_group_id"), F.lit(None).cast("string").alias("proposed_role"), F.lit(False).alias("eval_eligible"), "lang", (F.length("text") < 200).alias("_short"))
+    docs, i = read(spark, d, "documents"), F.col("doc_id")
+    ingots = docs.select(F.concat(F.lit("ing-"), i.cast("string")).alias("ingot_id"), T.sha256(F.coalesce("text", F.lit(""))).alias("ingot_sha256"), F.concat("source", F.lit("/"), (i % 50).cast("string")).alias("split_group_id"), F.when(i % 10 == 0, "validation").otherwise("train").alias("proposed_role"), F.lit(False).alias("eval_eligible"), "lang", (F.length(F.coalesce("text", F.lit(""))) < 200).alias("_short"))
     decisions = L.decide(ingots, F.when(F.col("_short"), "EXCLUDE").otherwise("INCLUDE"), F.when(F.col("_short"), F.array(F.lit("TOO_SHORT"))).otherwise(F.expr("cast(array() as array<string>)")), "0" * 64, "1" * 64)
     rows = L.assign_split(decisions).withColumn("messages", F.array(F.struct(F.lit("user").alias("role"), F.col("lang").alias("content"))))
     mapped = L.row_map(rows, ["ingot_id"], ["ingot_id", "split", "lang"])
@@ -73,22 +73,56 @@ def lot(spark, d):
     return mapped, dataset, ingots, decisions
 
 
-_LOT_CHECKS = ("row_hashes_match", "sources_match", "decisions_match", "record_ids_unique", "places_unique", "enough_training_rows", "enough_turns", "no_group_leaks", "no_excluded_source", "sources_declared", "sources_included", "every_source_decided")
+_LOT = """WITH i AS (SELECT doc_id, 'ing-' || doc_id::VARCHAR AS ingot_id, sha256(coalesce(text, '')) AS sha, source || '/' || (doc_id % 50)::VARCHAR AS grp, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split, lang, length(coalesce(text, '')) < 200 AS short FROM documents),
+m AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY ingot_id) - 1 AS row_index, sha256('{"ingot_id":"' || ingot_id || '",' || coalesce('"lang":"' || lang || '",', '') || '"split":"' || split || '"}') AS h FROM i WHERE NOT short)"""
 
 
-@query("lot_checks", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _LOT_CHECKS) + "]) AS \"check\", true AS ok, '' AS detail")
+@query("lot_row_map", _LOT + " SELECT split || '-' || lpad(row_index::VARCHAR, 7, '0') AS record_id, split, row_index, h AS row_sha256, ingot_id, sha AS ingot_sha256 FROM m")
+def lot_row_map(spark, d):
+    return lot(spark, d)[0].drop("decision_id")
+
+
+_LOT_COUNTS = {
+    "row_hashes_match": "FROM mm FULL JOIN r ON mm.split = r.split AND mm.row_index = r.row_index WHERE coalesce(mm.h <> r.h, true)",
+    "sources_match": "FROM mm LEFT JOIN s USING (ingot_id) WHERE coalesce(s.sha <> mm.sha, true)",
+    "decisions_match": "FROM mm LEFT JOIN e USING (ingot_id) WHERE coalesce(e.decision <> 'INCLUDE', true)",
+    "record_ids_unique": "FROM (SELECT split, row_index FROM mm GROUP BY ALL HAVING count(*) > 1)",
+    "places_unique": "FROM (SELECT split, row_index FROM mm GROUP BY ALL HAVING count(*) > 1)",
+    "enough_training_rows": "FROM (SELECT count(*) AS n FROM r WHERE split = 'train') WHERE n < 1",
+    "enough_turns": "FROM r WHERE false",
+    "no_group_leaks": "FROM r WHERE split <> 'eval' AND grp IN (SELECT grp FROM r WHERE split = 'eval')",
+    "no_excluded_source": "FROM mm WHERE ingot_id IN (SELECT ingot_id FROM e WHERE decision <> 'INCLUDE')",
+    "sources_declared": "FROM mm WHERE ingot_id NOT IN (SELECT ingot_id FROM s)",
+    "sources_included": "FROM mm WHERE ingot_id NOT IN (SELECT ingot_id FROM e WHERE decision = 'INCLUDE')",
+    "every_source_decided": "FROM s FULL JOIN e USING (ingot_id) WHERE s.sha IS NULL OR e.decision IS NULL",
+}
+_LOT_FAULTS = _LOT + """, mm AS (SELECT * REPLACE (CASE WHEN doc_id % 41 = 0 THEN '' ELSE h END AS h) FROM (SELECT * FROM m UNION ALL SELECT * FROM m WHERE doc_id % 61 = 0)),
+r AS (SELECT * REPLACE (CASE WHEN doc_id % 67 = 0 THEN 'eval' ELSE split END AS split) FROM m), s AS (SELECT ingot_id, CASE WHEN doc_id % 47 = 0 THEN '' ELSE sha END AS sha FROM i WHERE doc_id % 53 <> 0),
+e AS (SELECT ingot_id, CASE WHEN short OR doc_id % 59 = 0 THEN 'EXCLUDE' ELSE 'INCLUDE' END AS decision FROM i WHERE doc_id % 43 <> 0) """
+
+
+@query("lot_checks", _LOT_FAULTS + 'SELECT "check", n = 0 AS ok, CASE WHEN n > 0 THEN n::VARCHAR || \' rows\' ELSE \'\' END AS detail FROM (' + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", count(*) AS n {q}" for c, q in _LOT_COUNTS.items()) + ")")
 def lot_checks(spark, d):
+    """A lot with faults of seven kinds, planted by rules on ids: every check says how many rows it finds."""
+    mapped, dataset, sources, decisions = lot(spark, d)
+    hits = lambda n: F.substring("ingot_id", 5, 20).cast("long") % n == 0
+    mapped = mapped.unionByName(mapped.where(hits(61))).withColumn("row_sha256", F.when(hits(41), "").otherwise(F.col("row_sha256")))
+    dataset = dataset.withColumn("split", F.when(hits(67), "eval").otherwise(F.col("split")))
+    sources = sources.where(~hits(53)).withColumn("ingot_sha256", F.when(hits(47), "").otherwise(F.col("ingot_sha256")))
+    decisions = decisions.where(~hits(43)).withColumn("decision", F.when(hits(59), "EXCLUDE").otherwise(F.col("decision")))
+    return L.verify_lot(spark, mapped, dataset, sources, decisions)
+
+
+@query("lot_checks_sound", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _LOT_COUNTS) + "]) AS \"check\", true AS ok, '' AS detail")
+def lot_checks_sound(spark, d):
+    """The same lot without faults passes them all."""
     return L.verify_lot(spark, *lot(spark, d))
 
 
-@query("lot_row_map", """WITH i AS (SELECT 'ing-' || doc_id::VARCHAR AS ingot_id, sha256(coalesce(text, '')) AS sha, length(text) < 200 AS short FROM documents) SELECT ingot_id, sha AS ingot_sha256 FROM i WHERE NOT short""")
-def lot_row_map(spark, d):
-    return lot(spark, d)[0].select("ingot_id", "ingot_sha256")
-
-
-@query("derived_status", "SELECT count(*) FILTER (o_orderstatus = 'F') AS n_pass, count(*) FILTER (o_orderstatus = 'O') AS n_hold, 0::BIGINT AS n_fail, 0::BIGINT AS n_error, CASE WHEN count(*) FILTER (o_orderstatus = 'O') > 0 THEN 'HOLD' ELSE 'PASS' END AS status FROM orders")
+@query("derived_status", "SELECT count(*) FILTER (o_orderstatus = 'F') AS n_pass, count(*) FILTER (o_orderstatus = 'O') AS n_hold, count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 2 = 0) AS n_fail, count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 2 = 1) AS n_error, CASE WHEN count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 2 = 1) > 0 THEN 'ERROR' WHEN count(*) FILTER (o_orderstatus = 'P') > 0 THEN 'FAIL' WHEN count(*) FILTER (o_orderstatus = 'O') > 0 THEN 'HOLD' ELSE 'PASS' END AS status FROM orders")
 def derived_status(spark, d):
-    return suite.derived_status(read(spark, d, "orders").select(F.when(F.col("o_orderstatus") == "F", "PASS").when(F.col("o_orderstatus") == "O", "HOLD").alias("status")))
+    status = F.when(F.col("o_orderstatus") == "F", "PASS").when(F.col("o_orderstatus") == "O", "HOLD").when(F.col("o_orderkey") % 2 == 0, "FAIL").otherwise("ERROR")
+    return suite.derived_status(read(spark, d, "orders").select(status.alias("status")))
 
 
 @query("telemetry_rows", "SELECT event_id, event_type, octet_length(props::BLOB)::INT AS payload_bytes, sha256(props) AS payload_sha256, props = '' AS is_empty FROM events")

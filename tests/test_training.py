@@ -144,3 +144,9 @@ def test_readers(spark, tmp_path):
     (tmp_path / "d.jsonl").write_text('{"b":2,"a":1}\n')
     with pytest.raises(readers.SourceError):
         readers.canonical_jsonl(spark, str(tmp_path / "d.jsonl"))
+
+
+def test_typed_rows_are_numbered_in_order(spark):
+    df = spark.range(50).repartition(5).select("id", F.array(F.struct(F.lit("user").alias("role"), F.lit(None).cast("string").alias("content"), F.lit(None).cast("string").alias("reasoning"), F.lit(None).cast(M.TOOL_CALLS).alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"), F.lit(None).cast("string").alias("name"), F.lit(0.0).alias("loss_weight"))).alias("messages"))
+    got = {r.metadata_json: (r.id, r.split) for r in M.typed_rows(df, ["id"]).collect()}
+    assert got == {f'{{"id":{k}}}': (f"row_{k:07d}", "train") for k in range(50)}
