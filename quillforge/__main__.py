@@ -1,11 +1,16 @@
-"""Commands: ``scrub IN OUT`` (JSON lines), ``cast BUNDLE OUT``, ``verify FOLDER``. Exit 3: a gate refuses."""
+"""Commands: ``scrub IN OUT`` (JSON lines, with OUT.receipt.json), ``cast BUNDLE OUT``, ``verify FOLDER``. Exit 3: a gate refuses."""
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 
+def utc_now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="quillforge")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -21,17 +26,14 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(problems) or "ok")
         return 3 if problems else 0
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
-    from .operators import casting, sanitize
+    from .operators import casting, release
     from .operators.receipts import GateError
-    from .sources.readers import SourceError, jsonl_or_text
+    from .sources.readers import SourceError
 
     spark = SparkSession.builder.getOrCreate()
     if opts.command == "scrub":
-        out = sanitize.sanitise(jsonl_or_text(spark, opts.source), "value")
-        out.select(F.col("clean_text").alias("value")).write.text(opts.out)
-        return 0 if out.where("not is_clean").limit(1).count() == 0 else 3
+        return 0 if release.scrub_file(spark, opts.source, opts.out, clock=utc_now)["is_clean"] else 3
     try:
         print(casting.cast_bundle(spark, opts.source, opts.out)["disposition"])
     except (GateError, SourceError) as e:

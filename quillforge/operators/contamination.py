@@ -62,6 +62,25 @@ def turn_text(*parts: Column) -> Column:
     return F.trim(F.array_join(F.filter(F.array(*parts), lambda p: F.trim(p) != ""), "\n"))
 
 
+def dataset_turns(items: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, turn, text) of items of any shape (key, json): a list of turns, an object's ``messages`` or else its ``events``, any other object as
+    one turn, a string or other value as one text; what is no JSON is a text too. An empty list has one blank turn, so that no item is lost."""
+    v = F.try_parse_json("json")
+    listed = F.coalesce(*[F.try_variant_get(v, p, "array<variant>") for p in ("$", "$.messages", "$.events")])
+    turns = items.select(key, "json", F.when(F.size(listed) > 0, listed).when(listed.isNotNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.array(v)).alias("turns"), listed.isNotNull().alias("_listed"))
+    each = turns.select(key, "json", "_listed", F.posexplode("turns").alias("turn", "t"))
+    inside = lambda *paths: F.coalesce(*[F.try_variant_get("t", p, "string") for p in paths], F.lit(""))
+    parts = turn_text(inside("$.reasoning", "$.reasoning_content"), inside("$.content", "$.text", "$.payload.content", "$.data.content", "$.payload.text", "$.data.text"), F.coalesce(F.to_json(F.try_variant_get("t", "$.tool_calls", "variant")), F.lit("")))
+    is_object = F.coalesce(F.schema_of_variant("t"), F.lit("")).startswith("OBJECT")
+    text = F.when(is_object, parts).when(F.col("t").isNotNull(), F.coalesce(F.try_variant_get("t", "$", "string"), F.to_json("t"))).otherwise(F.when(F.col("_listed"), "").otherwise(F.coalesce("json", F.lit(""))))
+    return each.select(key, F.col("turn").cast("long").alias("turn"), text.alias("text"))
+
+
+def check_dataset(items: DataFrame, benchmark: DataFrame, key: str = "conv_id") -> DataFrame:
+    """``conversation_report`` of items of any shape."""
+    return conversation_report(dataset_turns(items, key).withColumnRenamed(key, "conv_id"), benchmark).withColumnRenamed("conv_id", key)
+
+
 def split_clean(texts: DataFrame, report: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(clean, contaminated) rows of ``texts``; what was too short to be checked counts as clean."""
     dirty = report.where("status = 'CONTAMINATED'").select(*keys)

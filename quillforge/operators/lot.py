@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from collections.abc import Callable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +100,62 @@ def verify_lot(spark: SparkSession, mapped: DataFrame, dataset: DataFrame, sourc
     return suite.run(checks)
 
 
+DISPOSITIONS = ("ACCEPT", "REJECT", "HOLD")
+REVIEW = "ingot_id string, disposition string, reviewer_type string, reason string"
+
+
+def hold_all(source: dict) -> dict:
+    """The reviewer where none is named: nothing is accepted."""
+    return {"disposition": "HOLD", "reviewer_type": "unconfigured", "reason": "no reviewer is configured"}
+
+
+def accept_fixtures(source: dict) -> dict:
+    """A reviewer for lots made of fixtures only."""
+    return {"disposition": "ACCEPT", "reviewer_type": "fixture", "reason": ""}
+
+
+def review(sources: DataFrame, reviewer: Callable[[dict], dict] = hold_all) -> DataFrame:
+    """A review (ingot_id, disposition, reviewer_type, reason) of each source by a callback, on the executors. A callback that fails, answers
+    for another source, or gives no known disposition holds that source; that it returns is no acceptance."""
+
+    def rows(batches):
+        for b in batches:
+            out = []
+            for source in b.to_dict("records"):
+                try:
+                    r = reviewer(dict(source))
+                    if r["disposition"] not in DISPOSITIONS:
+                        raise ValueError("unknown disposition")
+                    if r.get("ingot_id") not in (None, source["ingot_id"]):
+                        raise ValueError("a review of another source")
+                    out.append((source["ingot_id"], r["disposition"], str(r.get("reviewer_type", "")), str(r.get("reason", ""))))
+                except Exception as e:  # noqa: BLE001
+                    out.append((source["ingot_id"], "HOLD", "error", f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["ingot_id", "disposition", "reviewer_type", "reason"])
+
+    return sources.mapInPandas(rows, REVIEW)
+
+
+def review_checks(spark: SparkSession, sources: DataFrame, reviews: DataFrame, fixture_only: bool = False, production: bool = False) -> list[DataFrame]:
+    """Every source accepted; one review a source and none besides; fixture reviews in lots of fixtures only, and these not in production."""
+    reviews, fixture = materialised(reviews), F.col("reviewer_type") == "fixture"
+    both = sources.groupBy("ingot_id").agg(F.count("*").alias("_s")).join(reviews.groupBy("ingot_id").agg(F.count("*").alias("_r")), "ingot_id", "full")
+    return [
+        suite.check(sources.select("ingot_id").join(reviews, "ingot_id", "left"), "review_accepts", F.col("disposition") != "ACCEPT"),
+        suite.check(both, "review_attributed", (F.col("_s") != 1) | (F.col("_r") != 1)),
+        suite.check(reviews, "reviewer_scope", fixture & F.lit(not fixture_only)),
+        suite.check(reviews, "review_mode", F.lit(production) & (fixture | F.lit(fixture_only))),
+        suite.check(sources.agg(F.count("*").alias("n")), "review_present", F.col("n") == 0),
+    ]
+
+
+def lot_gaps(results: DataFrame, required: tuple[str, ...]) -> list[str]:
+    """Required checks that are missing, and checks that are not ok, sorted."""
+    seen = results.groupBy(F.lit(1)).agg(F.collect_set("check").alias("have"), F.collect_set(F.when(~F.col("ok"), F.col("check"))).alias("bad"))  # a row a check
+    row = seen.select(suite.gaps(F.array_except(F.array(*map(F.lit, required)), F.col("have")), F.col("bad")).alias("g")).first()
+    return row["g"] if row else sorted(required)
+
+
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """ok if SHA256SUMS lists exactly the files of the folder, with their digests."""
     listed = spark.read.text(os.path.join(folder, "SHA256SUMS")).select(F.split("value", "  ", 2).alias("p")).select(F.col("p")[1].alias("path"), F.col("p")[0].alias("listed"))

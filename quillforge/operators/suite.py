@@ -58,3 +58,9 @@ def derived_status(statuses: DataFrame, column: str = "status") -> DataFrame:
     """Counts by status and the gravest: ERROR, FAIL, HOLD, PASS."""
     n = lambda s: F.count_if(F.col(column) == s)
     return statuses.agg(n("PASS").alias("n_pass"), n("HOLD").alias("n_hold"), n("FAIL").alias("n_fail"), n("ERROR").alias("n_error")).withColumn("status", F.when(F.col("n_error") > 0, "ERROR").when(F.col("n_fail") > 0, "FAIL").when(F.col("n_hold") > 0, "HOLD").otherwise("PASS"))
+
+
+def gaps(*lists: Column) -> Column:
+    """All gaps that any of the lists names, once each, sorted; a null list names none."""
+    none = F.expr("cast(array() as array<string>)")
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(*[F.coalesce(x, none) for x in lists], none))))

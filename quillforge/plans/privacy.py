@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import license as L
 from ..functions import pii as P
 from ..functions import text as T
+from ..operators import release as R
 from ..operators import sanitize as S
 from .catalog import query, read
 
@@ -96,3 +97,19 @@ def license_gate(spark, d):
 def conversation_trees(spark, d):
     rows = read(spark, d, "conversations").select("conv_id", "turn", F.to_json(F.struct("role", F.col("text").alias("content"))).alias("json"))
     return S.release_rows(rows).select("conv_id", "turn", T.sha256(F.col("clean_json")).alias("clean_sha256"), "n_findings", "n_residual", "released")
+
+
+_STRINGS = "((role IS NOT NULL)::BIGINT + (text IS NOT NULL)::BIGINT)"
+_BYTES = "(coalesce(4 + strlen(role), 0) + coalesce(7 + strlen(text), 0))"
+
+
+@query("release_coverage", "SELECT " + ", ".join(f"sum({x})::BIGINT AS {n}{s}" for s in ("", "_scanned") for n, x in (("keys", _STRINGS), ("values", _STRINGS), ("bytes", _BYTES))) + ", 0::BIGINT AS n_refused FROM conversations")
+def release_coverage(spark, d):
+    return R.coverage(read(spark, d, "conversations").select(F.to_json(F.struct("role", F.col("text").alias("content"))).alias("json")))
+
+
+@query("release_verified", "SELECT 'CURRENT' AS status, count(*) AS n, 0::BIGINT AS n_problems FROM conversations")
+def release_verified(spark, d):
+    """Every turn is released with a receipt, and every receipt verified against what was released."""
+    rows = read(spark, d, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("id"), F.to_json(F.struct("role", F.col("text").alias("content"))).alias("json"))
+    return R.verify(R.release(rows, "id"), "id").groupBy("status").agg(F.count("*").alias("n"), F.sum(F.size("problems")).cast("long").alias("n_problems"))

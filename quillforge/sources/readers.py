@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,7 +100,8 @@ def blobs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def bundle(spark: SparkSession, root: str) -> dict[str, str]:
-    """A sealed bundle's required files and the manifest's digest, checked on the driver before anything is loaded."""
+    """A sealed bundle's required files: the manifest against its digest, and every file that it lists ({"files": {path: sha256}}, the run and its events
+    at least) against the manifest, on the driver and in blocks, before anything is loaded."""
     from ..operators.lot import sha256_file
 
     need = ("run.json", "manifest.json", "manifest.sha256", "events/events.ndjson")
@@ -110,6 +112,16 @@ def bundle(spark: SparkSession, root: str) -> dict[str, str]:
         stated = f.read().split()[0]
     if stated != sha256_file(os.path.join(root, "manifest.json")):
         raise SourceError("the manifest does not match its digest")
+    with open(os.path.join(root, "manifest.json"), encoding="utf-8") as f:
+        files = json.load(f).get("files")
+    if not isinstance(files, dict) or not {"run.json", "events/events.ndjson"} <= set(files):
+        raise SourceError("the manifest does not list the run and its events")
+    for path, digest in sorted(files.items()):
+        full = os.path.join(root, path)
+        if os.path.isabs(path) or ".." in path.split("/") or os.path.islink(full) or not os.path.isfile(full):
+            raise SourceError(f"listed, but no file of the bundle: {path}")
+        if sha256_file(full) != digest:
+            raise SourceError(f"altered: {path}")
     return {"manifest_sha256": stated, **{p: os.path.join(root, p) for p in need}}
 
 
@@ -140,6 +152,19 @@ def ingots(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+LOT_TABLES = {"train": "dataset/train.jsonl", "validation": "dataset/validation.jsonl", "record_map": "record_map.jsonl", "decisions": "decisions.jsonl", "sources": "sources.jsonl"}
+
+
+def lot(spark: SparkSession, folder: str) -> tuple[dict, dict[str, DataFrame]]:
+    """(manifest, tables) of a lot for its card: training rows and the manifest must be there; another table that is not has no entry."""
+    manifest = os.path.join(folder, "manifest.json")
+    if not os.path.isfile(manifest) or not os.path.exists(os.path.join(folder, LOT_TABLES["train"])):
+        raise SourceError("a lot has a manifest and training rows")
+    with open(manifest, encoding="utf-8") as f:
+        body = json.load(f)
+    return body, {name: spark.read.json(os.path.join(folder, p)) for name, p in LOT_TABLES.items() if os.path.exists(os.path.join(folder, p)) and os.path.getsize(os.path.join(folder, p))}
+
+
 def partition(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Rows of a written partition, by suffix: parquet, arrow or feather, JSON lines plain, gzip or zstd."""
     if path.endswith(".parquet"):

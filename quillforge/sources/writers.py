@@ -5,18 +5,23 @@ Spark writes the rows; files are then digested where they lie, and only their li
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import itertools
 import json
 import os
 from pathlib import Path
 
+import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType
 
 from ..operators.lot import canonical, file_digests, folder_sums, sha256_file
 
 CODECS = {"none": "none", "": "none", "uncompressed": "none", "gzip": "gzip", "gz": "gzip", "zstd": "zstd", "zst": "zstd"}
-ROW_GROUP_BYTES = 16 << 20
+ROW_GROUP_BYTES, GROUP_ROWS = 16 << 20, 5000
 
 
 def codec(name: str | None) -> str:
@@ -26,26 +31,69 @@ def codec(name: str | None) -> str:
         raise ValueError(f"unknown codec: {name}") from None
 
 
-def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> None:
-    df.write.mode("errorifexists").option("compression", codec(compression)).option("ignoreNullFields", "false").json(path)
+SUFFIXES = {"none": ".jsonl", "gzip": ".jsonl.gz", "zstd": ".jsonl.zst"}
 
 
-def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    df.write.mode("errorifexists").option("compression", codec(compression).replace("none", "uncompressed")).option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.enable.dictionary", "true").parquet(path)
+def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> dict:
+    """Rows as JSON lines in a folder, which gets the suffix of its kind if it has none. Returns the folder and two digests over its files' own: of
+    the bytes as they lie (``stored_sha256``) and of the lines in them (``rows_sha256``), which does not depend on the codec. zstd needs
+    Hadoop's native library; without it Spark refuses."""
+    kind = codec(compression)
+    out = path if path.endswith(SUFFIXES[kind]) else path + SUFFIXES[kind]
+    df.write.mode("errorifexists").option("compression", kind).option("ignoreNullFields", "false").json(out)
+
+    def raw(batches):
+        for b in batches:
+            found = []
+            for content in b["content"]:
+                body = gzip.decompress(content) if kind == "gzip" else zstandard.ZstdDecompressor().stream_reader(content).read() if kind == "zstd" else content
+                found.append((hashlib.sha256(content).hexdigest(), hashlib.sha256(body).hexdigest()))
+            yield pd.DataFrame(found, columns=["stored", "rows"])
+
+    files = df.sparkSession.read.format("binaryFile").load(out).orderBy("path").select("content").mapInPandas(raw, "stored string, rows string").collect()  # a row a file
+    both = [hashlib.sha256("\n".join(sorted(r[k] for r in files)).encode()).hexdigest() for k in ("stored", "rows")]
+    return {"path": out, "stored_sha256": both[0], "rows_sha256": both[1], "n_files": len(files)}
+
 
+def write_parquet(df: DataFrame, path: str, compression: str = "zstd", group_rows: int = GROUP_ROWS) -> None:
+    """Parquet with dictionaries, and row groups of at most ``group_rows`` rows."""
+    options = {"compression": codec(compression).replace("none", "uncompressed"), "parquet.block.size": ROW_GROUP_BYTES, "parquet.block.row.count.limit": group_rows, "parquet.enable.dictionary": "true"}
+    df.write.mode("errorifexists").options(**options).parquet(path)
 
-def write_arrow(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    """One Arrow IPC file, by the driver in batches: for tables that a single reader takes. gzip is none here, as the format has no such codec."""
+
+def write_arrow(df: DataFrame, path: str, compression: str = "zstd", schema: StructType | None = None) -> None:
+    """One Arrow IPC file, by the driver, which holds one partition at a time: for tables that a single reader takes. ``schema`` replaces the
+    table's own: its columns, in its order and types. gzip is none here, as the format has no such codec."""
     import pyarrow as pa
-    import pyarrow.feather  # noqa: F401
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    kind = codec(compression)
-    options = pa.ipc.IpcWriteOptions(compression="zstd" if kind == "zstd" else None)
-    table = df.toArrow()
+    if schema is not None:
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    shape = to_arrow_schema(schema or df.schema)
+    maps = [f.name for f in df.schema if isinstance(f.dataType, MapType)]
+    options = pa.ipc.IpcWriteOptions(compression="zstd" if codec(compression) == "zstd" else None)
     Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with pa.OSFile(path, "wb") as f, pa.ipc.new_file(f, table.schema, options=options) as w:
-        for b in table.to_batches(max_chunksize=5000):
-            w.write_batch(b)
+    rows = df.toLocalIterator()
+    with pa.OSFile(path, "wb") as f, pa.ipc.new_file(f, shape, options=options) as w:
+        while some := [r.asDict(recursive=True) for r in itertools.islice(rows, 5000)]:
+            w.write_batch(pa.RecordBatch.from_pylist([r | {m: list(r[m].items()) for m in maps if r[m] is not None} for r in some], schema=shape))
+
+
+def install(staged: str, final: str) -> None:
+    """Moves a finished folder to its place whole, for its owner only; what is there already is never replaced. The place is claimed first (one
+    of several callers gets it), then the folder takes it in one step; if that fails the claim is given back."""
+    for top, folders, files in os.walk(staged):
+        if any(os.path.islink(os.path.join(top, n)) for n in folders + files):
+            raise ValueError("links are not installed")
+        os.chmod(top, 0o700)
+        for n in files:
+            os.chmod(os.path.join(top, n), 0o600)
+    os.mkdir(final, 0o700)
+    try:
+        os.rename(staged, final)
+    except OSError:
+        os.rmdir(final)
+        raise
 
 
 def write_shards(df: DataFrame, folder: str, split: str = "split", file: str = "file", formats: tuple[str, ...] = ("jsonl",), compression: str = "none") -> None:

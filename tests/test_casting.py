@@ -16,11 +16,16 @@ def bundle(tmp_path):
     rows = [{"run_id": "r", "sequence": i, "event_type": "assistant", "payload": p} for i, p in enumerate(['{"content":"hi"}', '{"content":"mail bob@example.com"}'])]
     (root / "events/events.ndjson").write_text("".join(json.dumps(r) + "\n" for r in rows))
     (root / "run.json").write_text("{}")
-    (root / "manifest.json").write_text('{"a":1}')
-    (root / "manifest.sha256").write_text(hashlib.sha256(b'{"a":1}').hexdigest() + "  manifest.json\n")
+    seal(root)
     return root
 
 
+def seal(root):
+    body = json.dumps({"files": {p: hashlib.sha256((root / p).read_bytes()).hexdigest() for p in ("run.json", "events/events.ndjson")}})
+    (root / "manifest.json").write_text(body)
+    (root / "manifest.sha256").write_text(hashlib.sha256(body.encode()).hexdigest() + "  manifest.json\n")
+
+
 def test_cast(spark, bundle, tmp_path):
     a = casting.cast_bundle(spark, str(bundle), str(tmp_path / "a"))
     b = casting.cast_bundle(spark, str(bundle), str(tmp_path / "b"), clock=lambda: "later")
@@ -34,6 +39,7 @@ def test_cast(spark, bundle, tmp_path):
 def test_severe_findings_quarantine(spark, bundle, tmp_path):
     with (bundle / "events/events.ndjson").open("a") as f:
         f.write(json.dumps({"run_id": "r", "sequence": 2, "event_type": "tool", "payload": 'password = "hunter22"'}) + "\n")
+    seal(bundle)
     assert casting.cast_bundle(spark, str(bundle), str(tmp_path / "a"))["disposition"] == "QUARANTINED"
 
 
@@ -51,3 +57,14 @@ def test_repository(spark, tmp_path, files, category):
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     assert casting.audit_repository(spark, str(tmp_path))[0] == category
+
+
+def test_altered_events_are_refused(spark, bundle, tmp_path):
+    with (bundle / "events/events.ndjson").open("a") as f:
+        f.write("{}\n")
+    with pytest.raises(SourceError, match="altered: events"):
+        casting.cast_bundle(spark, str(bundle), str(tmp_path / "x"))
+    (bundle / "manifest.json").write_text("{}")
+    (bundle / "manifest.sha256").write_text(hashlib.sha256(b"{}").hexdigest())
+    with pytest.raises(SourceError, match="does not list"):
+        casting.cast_bundle(spark, str(bundle), str(tmp_path / "x"))
