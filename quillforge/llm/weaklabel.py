@@ -131,7 +131,7 @@ def weak_label_model(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> tuple[dic
     m = len(LABELLERS)
 
     def vote(batches):
-        for b in batches:
+        for b in slices(batches):
             seen = Counter(votes(v.as_py()) for v in b.column(0).cast(pa.large_binary()))
             yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int32())), pa.array(list(seen.values()), pa.int64())], names=["votes", "n"])
 
@@ -145,15 +145,16 @@ def weak_label_model(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> tuple[dic
     def features(batches):
         for b in slices(batches):
             raw = [v.as_py() for v in b.column(0).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([pa.array([hashed(r).astype("<f2").tobytes() for r in raw], pa.binary()), pa.array([posterior.get(votes(r), 0.5) for r in raw], pa.float64())], names=["x", "good"])
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([hashed(r).astype("<f2").tobytes() for r in raw], pa.binary()), pa.array([posterior.get(votes(r), 0.5) for r in raw], pa.float64())], names=["_h", "x", "good"])
 
     # The sample: least hashes first, equal texts once; the hash alone is sorted, then joined back to its texts.
     sample = text.withColumn("_h", F.xxhash64("text"))
     chosen = sample.select("_h").distinct().orderBy("_h").limit(max_sample)
     edge = chosen.agg(F.max("_h")).first()[0]
-    rows = sample.where(F.col("_h") <= F.lit(edge)).dropDuplicates(["_h"]).select("text").mapInArrow(features, "x binary, good double").collect() if edge is not None else []
-    x = np.frombuffer(b"".join(r[0] for r in rows), "<f2").reshape(-1, DIMS).astype(np.float32)
-    w, bias = fit_linear(x, np.array([r[1] for r in rows], np.float32))
+    rows = sample.where(F.col("_h") <= F.lit(edge)).dropDuplicates(["_h"]).select("text", "_h").mapInArrow(features, "_h long, x binary, good double").collect() if edge is not None else []
+    rows.sort(key=lambda r: r[0])  # sums of floats don't depend on the order of tasks
+    x = np.frombuffer(b"".join(r[1] for r in rows), "<f2").reshape(-1, DIMS).astype(np.float32)
+    w, bias = fit_linear(x, np.array([r[2] for r in rows], np.float32))
     return posterior, w, bias
 
 

@@ -1,6 +1,7 @@
 """Quality rules, classifier, packing, secrets, media, mixing: against plain versions."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -324,3 +325,15 @@ def test_mix_awkward(awkward, nothing):
     assert abs(sum(r.taken for r in got) - sum(r.size for r in got)) <= 10
     out = mixing.repeat_mixed(awkward)
     assert out.columns == awkward.columns and out.where("text is null or text = ''").count() == 0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/labels.parquet"), reason="needs the labelled table")
+def test_weak_labels_against_labels(spark):
+    """No label is used in training; the verdict agrees with the labels of quality, in both classes, and does not change from run to run."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    first = {r.doc_id: (r.score, r.kept) for r in weaklabel.classify_quality(docs).collect()}
+    again = {r.doc_id: (r.score, r.kept) for r in weaklabel.classify_quality(docs.repartition(7)).collect()}
+    pairs = [(bool(r.quality), first[r.doc_id][1]) for r in labels.collect() if r.doc_id in first and r.quality is not None]
+    share = [sum(a == b for a, b in pairs if a is side) / sum(a is side for a, _ in pairs) for side in (True, False)]
+    print(len(pairs), share)
+    assert first == again and len(pairs) > 100 and sum(share) / 2 >= 0.9
