@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a build side, of about 60 bytes each, up to which it is broadcast.
 BROADCAST_ROWS = 500_000
+#: What holds while a table is saved: Arrow batches between the JVM and Python stay small, as a worker holds some of them whole.
+WHILE_SAVING = {"spark.sql.execution.arrow.maxBytesPerBatch": "8388608b"}
 
 
 def materialised(df: DataFrame) -> DataFrame:
@@ -16,7 +18,14 @@ def materialised(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{root.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = {k: spark.conf.get(k, None) for k in WHILE_SAVING}
+    try:
+        for k, v in WHILE_SAVING.items():
+            spark.conf.set(k, v)
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

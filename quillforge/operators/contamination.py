@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import text as T
-from .checkpoints import sized
+from ..functions.runs import Runs, symbols
+from .checkpoints import BROADCAST_ROWS, materialised, sized
 
 PERMUTATIONS, PRIME, SIMILAR = 128, (1 << 61) - 1, 0.8
 
@@ -116,6 +118,127 @@ def _mulmod(h: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.where(out >= m, out - m, out)
 
 
+class Minima:
+    """The least value of each function over texts' hashes.
+
+    (a * h + b) / PRIME is held as a fraction of 2^64 first: two products and a sum that wrap round, too great by less than SLACK. Only hashes within SLACK
+    of a function's least fraction can be its minimum; those are computed exactly. Where the least one is below SLACK a fraction may have wrapped, so all are."""
+
+    BLOCK, SLACK = 256, np.uint64(1 << 32)
+
+    def __init__(self, n_perm: int):
+        pairs = parameters(n_perm)
+        part = lambda x: ((x << 64) + PRIME // 2) // PRIME & (1 << 64) - 1
+        self.a, self.b = (np.array(c, np.uint64) for c in zip(*pairs))
+        self.low, self.high, self.plus = (np.array(c, np.uint64) for c in zip(*((part(a), part((a << 31) % PRIME), (part(b) + (1 << 31)) & (1 << 64) - 1) for a, b in pairs)))
+
+    def exact(self, h: np.ndarray, k: np.ndarray) -> np.ndarray:
+        sums = _mulmod(h, self.a[k]) + self.b[k]
+        return np.where(sums >= np.uint64(PRIME), sums - np.uint64(PRIME), sums)
+
+    def __call__(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """A row of minima (long) for each text, given the hashes of all end to end; zeros for a text without any."""
+        n, h = len(self.a), hashes & np.uint64(PRIME)
+        least = np.full((len(counts), n), PRIME, np.uint64)
+        at, which, maybe = np.cumsum(counts) - counts, [], []
+        for i, (lo, count) in enumerate(zip(at.tolist(), counts.tolist())):
+            for start in range(lo, lo + count, self.BLOCK):
+                v = h[start : min(start + self.BLOCK, lo + count), None]
+                share = (v & np.uint64(0x7FFFFFFF)) * self.low
+                share += (v >> np.uint64(31)) * self.high
+                share += self.plus
+                floor = share.min(axis=0)
+                top = floor + self.SLACK
+                top[(floor < self.SLACK) | (top < floor)] = np.uint64(2**64 - 1)
+                found = np.flatnonzero(share <= top)
+                maybe.append(found + start * n)
+                which.append(np.full(len(found), i))
+        if maybe:
+            found, which = np.concatenate(maybe), np.concatenate(which)
+            place, k = np.divmod(found, n)
+            np.minimum.at(least, (which, k), self.exact(h[place], k))
+        least[counts == 0] = 0
+        return least.view(np.int64)
+
+
+#: Texts whose runs are hashed at a time, and what ``facts`` can tell of a text.
+SLICE, FACTS = 64, {"runs": "array<bigint>", "set_key": "binary", "may": "boolean", "sig": "array<bigint>"}
+
+
+def known_runs(benchmark: DataFrame, n: int = T.NGRAM) -> np.ndarray | None:
+    """The distinct run hashes of a benchmark, sorted, if they are few enough to be sent to all; else none."""
+    found = materialised(facts(benchmark, ["item_id"], "runs", n=n).select(F.explode("runs").alias("h")).distinct())
+    return np.sort(np.array([r.h for r in found.collect()], np.int64)) if found.count() <= BROADCAST_ROWS else None
+
+
+def facts(texts: DataFrame, keys: list[str], *names: str, known: np.ndarray | None = None, n_perm: int = PERMUTATIONS, n: int = T.NGRAM, all_signed: bool = False) -> DataFrame:
+    """``keys`` and facts of each text's ``text``, in one pass in Arrow batches: ``runs``, the 64-bit hash of each n-gram (of a text under n tokens that of
+    its whole token run, of one without tokens none); ``set_key``, equal for equal sets of runs; ``may``, whether one is among ``known``;
+    ``sig``, minima over its runs. If ``known`` is given, a text without any of it has no ``sig``, unless ``all_signed``."""
+    table, spark = symbols(texts.sparkSession), texts.sparkSession
+    sent = None if known is None else spark.sparkContext.broadcast(known)
+    schema = T_.StructType([texts.schema[k] for k in keys] + T_.StructType.fromDDL(", ".join(f"{c} {FACTS[c]}" for c in names)).fields)
+
+    def told(batches):
+        engine, minima = Runs(table, n), Minima(n_perm)
+        some = None if sent is None else sent.value.view(np.uint64)
+        bits = None
+        if some is not None:  # a bit of 2^22 rules out most
+            bits = np.zeros(1 << 22, bool)
+            bits[some & np.uint64(len(bits) - 1)] = True
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                h, counts = engine.of(part.column(len(keys)).cast(pa.binary()).to_pylist())
+                ends = np.cumsum(counts)
+                split = [h[e - c : e] for e, c in zip(ends.tolist(), counts.tolist())]
+                may = None
+                if some is not None:
+                    near = np.flatnonzero(bits[h & np.uint64(len(bits) - 1)])
+                    near = near[np.isin(h[near], some)]
+                    may = np.zeros(len(counts), bool)
+                    may[np.searchsorted(ends, near, "right")] = True
+                out = []
+                for c in names:
+                    if c == "runs":
+                        out.append(pa.array([x.view(np.int64) for x in split], pa.list_(pa.int64())))
+                    elif c == "set_key":
+                        out.append(pa.array([hashlib.sha256(np.unique(x).tobytes()).digest() for x in split], pa.binary()))
+                    elif c == "may":
+                        out.append(pa.array(may))
+                    else:
+                        some_texts = np.flatnonzero(may) if may is not None and not all_signed else np.arange(len(counts))
+                        signed = [None] * len(counts)
+                        if len(some_texts):
+                            rows = minima(np.concatenate([split[i] for i in some_texts]), counts[some_texts])
+                            for i, row in zip(some_texts.tolist(), rows):
+                                signed[i] = row
+                        out.append(pa.array(signed, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keys))), *out], names=[*keys, *names])
+        pa.default_memory_pool().release_unused()
+
+    return texts.select(*keys, "text").mapInArrow(told, schema)
+
+
+def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n: int = T.NGRAM) -> DataFrame:
+    """``keys`` and sig array<long>: minima over the distinct n-grams of each text; a text with no token has zeros, one under n tokens its
+    whole token run as the only n-gram."""
+    return facts(texts, keys, "sig", n_perm=n_perm, n=n)
+
+
+def holders(texts: DataFrame, benchmark: DataFrame, keys: list[str], *names: str, n_perm: int = PERMUTATIONS, all_signed: bool = False) -> DataFrame:
+    """``facts`` of all texts with ``may``, saved; ``sig``, and its hash ``_s``, only of those that may unless ``all_signed``. A benchmark of too many runs
+    to be sent to all is joined by its hashes."""
+    known = known_runs(benchmark)
+    if known is not None:
+        out = facts(texts, keys, "may", *names, known=known, n_perm=n_perm, all_signed=all_signed)
+    else:
+        index = materialised(facts(benchmark, ["item_id"], "runs").select(F.explode("runs").alias("h")).distinct())
+        may = facts(texts, keys, "runs").select(*keys, F.explode("runs").alias("h")).join(index, "h", "left_semi").select(*keys).distinct()
+        out = facts(texts, keys, *names, n_perm=n_perm).join(sized(may.withColumn("may", F.lit(True))), keys, "left").na.fill(False, ["may"])
+    return materialised(out.withColumn("_s", T.run_hash(F.col("sig"))) if "sig" in names else out)
+
+
 def run_hashes(texts: DataFrame, keys: list[str], n: int = T.NGRAM) -> DataFrame:
     """``keys`` and runs array<long>: a 64-bit hash of each n-gram of ``text``; of a text under n tokens that of its whole token run, of one
     without tokens none."""
@@ -124,12 +247,6 @@ def run_hashes(texts: DataFrame, keys: list[str], n: int = T.NGRAM) -> DataFrame
     return rows.select(*keys, runs.alias("runs"))
 
 
-def signatures(texts: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS, n: int = T.NGRAM) -> DataFrame:
-    """``keys`` and sig array<long>: minima over the distinct n-grams of each text; a text with no token has zeros, one under n tokens its
-    whole token run as the only n-gram. Token runs are hashed in the JVM; only hashes reach Python, in Arrow batches."""
-    return sign(run_hashes(texts, keys, n), keys, n_perm)
-
-
 def sign(rows: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS) -> DataFrame:
     """Signatures of saved ``run_hashes``."""
     a, b = (np.array(c, np.uint64)[None, :] for c in zip(*parameters(n_perm)))
@@ -164,7 +281,7 @@ def most_similar(texts: DataFrame, benchmark: DataFrame, keys: list[str], n_perm
     A join of (place, value) pairs counts agreements, so texts that agree nowhere with an item never meet it."""
     places = lambda df, *cols: df.select(*cols, F.posexplode("sig").alias("k", "v"))
     items = places(signatures(benchmark, ["item_id"], n_perm), "item_id")
-    signed = signatures(texts, keys, n_perm).where(F.exists("sig", lambda v: v != 0))  # read once: only its places are joined
+    signed = holders(texts, benchmark, keys, "sig", n_perm=n_perm).where("may").where(F.exists("sig", lambda v: v != 0))  # functions are one-to-one: equal minima come of an equal n-gram
     same = places(signed, *keys).join(sized(items.where("v <> 0")), ["k", "v"]).groupBy(*keys, "item_id").count()
     best = same.groupBy(*keys).agg(F.max_by(F.struct("item_id", "count"), F.struct("count", -F.col("item_id"))).alias("b"))
     out = texts.select(*keys).join(best, keys, "left")
