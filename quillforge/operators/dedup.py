@@ -38,10 +38,11 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     return hashed.join(least, "text_hash").select(key, "text_hash", "survivor")
 
 
-def ngram_set_key(toks: Column) -> Column:
-    """Equal for equal sets of n-grams; of a shorter text its whole token run is the only one. Grams are told apart by 64-bit hashes,
-    so that the distinct ones are found by hashing and sorted as numbers."""
-    return T.bound(toks, lambda t: T.sha256(F.array_join(F.sort_array(F.array_distinct(F.when(F.size(t) >= T.NGRAM, T.ngrams(t, key=F.xxhash64)).otherwise(F.array(F.xxhash64(t))))), ",")))
+def equal_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key and survivor: the least key of equal sets of n-grams; of a shorter text its whole token run is the only one. Grams are told apart by 64-bit
+    hashes. Texts are read once, and only digests of their sets are shuffled."""
+    keyed = materialised(C.facts(docs, [key], "set_key"))
+    return keyed.join(keyed.groupBy("set_key").agg(F.min(key).alias("survivor")), "set_key").select(key, "survivor")
 
 
 def accept_similar(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BANDS, n_perm: int = C.PERMUTATIONS, tail: int = TAIL) -> DataFrame:

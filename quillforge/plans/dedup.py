@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import contamination as C
 from ..operators import dedup as D
 from .catalog import query, read
@@ -19,9 +18,7 @@ def dedup_exact(spark, d):
 @query("dedup_ngram_set", f"""WITH t AS (SELECT doc_id, {_TOKS} AS toks FROM documents), g AS (SELECT doc_id, gram FROM (SELECT doc_id, {_GRAMS} FROM t WHERE len(toks) >= 13) UNION ALL SELECT doc_id, array_to_string(toks, ' ') FROM t WHERE len(toks) < 13),
 k AS (SELECT doc_id, sha256(string_agg(gram, chr(10) ORDER BY gram)) AS set_key FROM (SELECT DISTINCT doc_id, gram FROM g) GROUP BY doc_id) SELECT doc_id, min(doc_id) OVER (PARTITION BY set_key) AS survivor FROM k""")
 def dedup_ngram_set(spark, d):
-    toks = read(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("toks"))
-    keyed = toks.select("doc_id", D.ngram_set_key(F.col("toks")).alias("set_key"))
-    return keyed.join(keyed.groupBy("set_key").agg(F.min("doc_id").alias("survivor")), "set_key").select("doc_id", "survivor")
+    return D.equal_sets(read(spark, d, "documents"))
 
 
 @query("dedup_near_pairs")
