@@ -239,36 +239,6 @@ def holders(texts: DataFrame, benchmark: DataFrame, keys: list[str], *names: str
     return materialised(out.withColumn("_s", T.run_hash(F.col("sig"))) if "sig" in names else out)
 
 
-def run_hashes(texts: DataFrame, keys: list[str], n: int = T.NGRAM) -> DataFrame:
-    """``keys`` and runs array<long>: a 64-bit hash of each n-gram of ``text``; of a text under n tokens that of its whole token run, of one
-    without tokens none."""
-    rows = texts.select(*keys, T.tokens(F.col("text")).alias("toks"))
-    runs = F.when(F.size("toks") >= n, T.ngrams(F.col("toks"), n, F.xxhash64)).when(F.size("toks") > 0, F.array(F.xxhash64("toks"))).otherwise(F.expr("cast(array() as array<bigint>)"))
-    return rows.select(*keys, runs.alias("runs"))
-
-
-def sign(rows: DataFrame, keys: list[str], n_perm: int = PERMUTATIONS) -> DataFrame:
-    """Signatures of saved ``run_hashes``."""
-    a, b = (np.array(c, np.uint64)[None, :] for c in zip(*parameters(n_perm)))
-
-    def minima(h: np.ndarray) -> np.ndarray:
-        least = np.full(n_perm, PRIME, np.uint64)
-        for lo in range(0, len(h), 512):  # blocks that stay in the cache
-            sums = _mulmod(h[lo : lo + 512, None], a) + b
-            least = np.minimum(least, np.where(sums >= np.uint64(PRIME), sums - np.uint64(PRIME), sums).min(axis=0))
-        return least.astype(np.int64) if len(h) else np.zeros(n_perm, np.int64)
-
-    def signed(batches):
-        for batch in batches:
-            out = []
-            for row in batch.column(len(keys)):
-                h = np.unique(np.asarray(row.values, np.int64)).view(np.uint64) & np.uint64(PRIME)
-                out.append(minima(h))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(out, pa.list_(pa.int64()))], names=[*keys, "sig"])
-
-    return rows.select(*keys, "runs").mapInArrow(signed, rows.select(*keys, F.expr("cast(array() as array<bigint>)").alias("sig")).schema)
-
-
 def similarity(a: Column, b: Column) -> Column:
     """Share of equal places; 0 for signatures of different lengths."""
     n = F.size(a)

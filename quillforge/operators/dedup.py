@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import contamination as C
-from .checkpoints import materialised
+from .checkpoints import materialised, sized
 
 NEAR, BANDS = 0.85, 20
 #: Open classes, of about a kilobyte each, that one pass of the driver settles.
@@ -53,17 +53,25 @@ def accept_similar(signed: DataFrame, key: str, cut: float = NEAR, bands: int =
     so only classes that share a band can meet. A round accepts the classes that are the least open ones in all their bands; each band has one
     such at most, so a class is compared with no more than ``bands`` of them and no pair of a bucket is made. When ``tail`` open classes or fewer
     are left, one pass over their signatures settles them."""
+    return _accepted(materialised(signed.select(F.col(key).alias("key"), "sig", T.run_hash(F.col("sig")).alias("_s"))), key, cut, bands, n_perm, tail)
+
+
+def _accepted(signed: DataFrame, key: str, cut: float = NEAR, bands: int = BANDS, n_perm: int = C.PERMUTATIONS, tail: int = TAIL, but: DataFrame | None = None) -> DataFrame:
+    """``accept_similar`` of saved rows (key, sig, _s, the hash of sig), without the keys of ``but``. Signatures, a kilobyte each, are moved for classes
+    that share a band only; all else goes by keys and hashes."""
     if n_perm - int(-(-cut * n_perm // 1)) >= bands:
         raise ValueError("more bands are needed for this cut")
     spark = signed.sparkSession
-    signed = materialised(signed.select(F.col(key).alias("key"), "sig", T.run_hash(F.col("sig")).alias("_s")))
-    members = materialised(signed.select("key", "_s").join(signed.groupBy("_s").agg(F.min("key").alias("rep")), "_s").select("key", "rep"))
-    nodes = materialised(signed.join(members.where("key = rep").select("key"), "key", "left_semi").select(F.col("key").alias("node"), "sig"))
+    named = signed.select("key", "_s")
+    named = named if but is None else named.join(but.select(F.col(but.columns[0]).alias("key")), "key", "left_anti")
+    members = materialised(named.join(named.groupBy("_s").agg(F.min("key").alias("rep")), "_s").select("key", "rep"))
     edges = [n_perm * b // bands for b in range(bands + 1)]
     band = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", edges[b] + 1, edges[b + 1] - edges[b])) for b in range(bands)])
-    rows = nodes.select("node", F.explode(band).alias("band"))
+    banded = signed.select(F.col("key").alias("node"), band.alias("bands"))
+    rows = materialised(banded.join(members.where("key = rep").select(F.col("key").alias("node")), "node", "left_semi")).select("node", F.explode("bands").alias("band"))
     rows = materialised(rows.join(rows.groupBy("band").count().where("count > 1").select("band"), "band"))
     state = materialised(rows.select("node").distinct().select("node", F.lit(False).alias("accepted"), F.lit(None).cast("long").alias("survivor"), F.lit(None).cast("double").alias("jaccard")))
+    nodes = materialised(signed.select(F.col("key").alias("node"), "sig").join(sized(state.select("node")), "node", "left_semi"))
     sig = lambda c, s: nodes.select(F.col("node").alias(c), F.col("sig").alias(s))
     while (left := state.where("not accepted and survivor is null")).limit(tail + 1).count() > tail:
         at = rows.join(left.select("node"), "node")
@@ -121,17 +129,15 @@ def _lesser(beaten: DataFrame, taken: list, cut: float, n_perm: int) -> DataFram
 def audit(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cut: float = NEAR) -> DataFrame:
     """key, status (CONTAMINATED, DUPLICATE_EXACT, DUPLICATE_MINHASH or CLEAN), duplicate_of and jaccard, in order of ``key``.
 
-    Texts are tokenised once, into saved hashes of their n-grams: these name the texts that can hold one of the benchmark (which the n-grams
-    themselves then decide), the equal sets and the signatures. Equal texts have equal n-gram sets, and these equal signatures, so one seed of each set
+    Texts are tokenised once, in a pass that saves what is a kilobyte a text: its signature, a digest of its n-gram set, and whether it may hold an n-gram
+    of the benchmark (which the n-grams themselves then decide). Equal texts have equal n-gram sets, and these equal signatures, so one seed of each set
     stands for all; the others are exact duplicates of it if it is accepted, and near-duplicates of what beat it otherwise."""
-    runs = materialised(C.run_hashes(docs, [key]))
-    index = C.postings(benchmark)
-    may = runs.select(key, F.explode("runs").alias("a")).join(C.sized(index.select("h.a").distinct()), "a", "left_semi").select(key).distinct()
-    dirty = materialised(C.ngram_hits(docs.join(may, key, "left_semi"), index, [key]).select(key).distinct())
-    clean = runs.join(dirty, key, "left_anti")
-    keyed = materialised(clean.select(key, T.sha256(F.array_join(F.sort_array(F.array_distinct("runs")), ",")).alias("set_key")))
+    told = C.holders(docs, benchmark, [key], "set_key", "sig", all_signed=True)
+    signed = told.select(F.col(key).alias("key"), "sig", "_s")
+    dirty = materialised(C.ngram_hits(docs.join(sized(told.where("may").select(key)), key, "left_semi"), C.postings(benchmark), [key]).select(key).distinct())
+    keyed = told.select(key, "set_key").join(dirty, key, "left_anti")
     reps = keyed.groupBy("set_key").agg(F.min(key).alias("rep"))
-    lost = accept_similar(C.sign(clean.join(reps.select(F.col("rep").alias(key)), key, "left_semi"), [key]), key, cut).where("survivor is not null").withColumnRenamed(key, "rep")
+    lost = _accepted(signed, key, cut, but=dirty).where("survivor is not null").withColumnRenamed(key, "rep")
     placed = keyed.join(reps, "set_key").join(lost, "rep", "left")
     near, same = F.col("survivor").isNotNull(), F.col(key) != F.col("rep")
     status = F.when(near, "DUPLICATE_MINHASH").when(same, "DUPLICATE_EXACT").otherwise("CLEAN")
