@@ -37,13 +37,13 @@ def counts_by_category(scanned: DataFrame) -> DataFrame:
 def counts_by_rule(df: DataFrame, text: str = "text", rules=P.RULES) -> DataFrame:
     """rule, category, n (matches) and n_rows: one pass, a count for each rule and row, no span is built."""
     t = F.coalesce(F.col(text), F.lit(""))
-    each = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.category).alias("category"), F.regexp_count(t, F.lit(r.pattern)).cast("long").alias("k")) for r in rules])
+    each = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.category).alias("category"), P.match_count(t, r).cast("long").alias("k")) for r in rules])
     return df.select(F.explode(each).alias("x")).select("x.*").where("k > 0").groupBy("rule", "category").agg(F.sum("k").alias("n"), F.count("*").alias("n_rows"))
 
 
 def severe_count(df: DataFrame, text: str = "text") -> Column:
     """Matches of severe rules in a text."""
-    return sum((F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r.pattern)) for r in P.RULES if r.severe), F.lit(0))
+    return sum((P.match_count(F.coalesce(F.col(text), F.lit("")), r) for r in P.RULES if r.severe), F.lit(0))
 
 
 def entropy_findings(df: DataFrame, key: str, text: str = "text", allowed: Column | None = None) -> DataFrame:
