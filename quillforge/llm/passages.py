@@ -67,22 +67,35 @@ def _least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.uint64]:
     return least, _U((1 << int(bits)) - 1)
 
 
-def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """The Cartesian tree's nodes (l, c, r) over ``values`` with r - l + 1 >= span; of equal values the first is the least."""
-    n = len(values)
-    if n < span:
-        return []
+def trees(values: np.ndarray, span: int, sizes: np.ndarray) -> np.ndarray:
+    """The nodes (l, c, r), r - l + 1 >= span, of the Cartesian trees over sequences laid end to end in ``values``, of so many each: a row a node, by
+    rising c, places counted from the first sequence on; of equal values the first is the least."""
+    if len(values) < span:
+        return np.zeros((0, 3), np.int64)
+    ends = np.cumsum(sizes)
     least, mask = _least(values, span)
-    nodes = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    places = (nodes & mask).tolist()
-    out, stack = [], []
-    for c, v in zip(places, nodes.tolist()):
-        while stack and stack[-1][1] > v:
-            at, _, lo = stack.pop()
-            out.append((lo, at, c - 1))
-        stack.append((c, v, stack[-1][0] + 1 if stack else 0))
-    out += [(lo, at, n - 1) for at, _, lo in stack]
-    return [w for w in out if w[2] - w[0] + 1 >= span]
+    end = np.repeat(ends, sizes)[: len(least)]  # of the sequence in which a stretch begins
+    whole = np.arange(span, span + len(least)) <= end
+    fresh = whole & np.append(True, (least[1:] != least[:-1]) | (end[1:] != end[:-1]))
+    nodes, first, end = least[fresh], (end - np.repeat(sizes, sizes)[: len(least)])[fresh], end[fresh]
+    c, at = (nodes & mask).astype(np.int64), np.arange(len(nodes))
+    edge = end[1:] != end[:-1]
+    below = np.maximum.accumulate(np.where(np.append(True, edge), at, 0)[: len(at)]) - 1
+    above = np.minimum.accumulate(np.where(np.append(edge, True), at, len(at))[: len(at)][::-1])[::-1] + 1
+    before, after = at - 1, at + 1
+    for to, stop in ((before, below), (after, above)):  # the next lesser node: from a greater one it is looked for where that one looks
+        on = at
+        while len(on := on[to[on] != stop[on]]) and len(on := on[nodes[to[on]] > nodes[on]]):
+            to[on] = to[to[on]]
+    if len(at):
+        first = np.where(before == below, first, c[before] + 1)
+        end = np.where(after == above, end, c[np.minimum(after, len(c) - 1)])
+    return np.stack([first, c, end - 1], axis=1)[end - first >= span]
+
+
+def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
+    """``trees`` of one sequence."""
+    return [tuple(w) for w in trees(values, span, np.array([len(values)])).tolist()]
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -103,16 +116,14 @@ def windows(docs: DataFrame, width: int, min_words: int, percent: int, hashes: i
 
     def rows(batches):
         for b in slices(batches, 64):
-            doc, key, found = [], [], []
-            for i, s in enumerate(sequences((v.as_py() for v in b.column(2).cast(pa.large_binary())), width)):
-                for seed in seeds if len(s) > most else ():
-                    w = np.array(compact_windows(mix(s ^ seed), run), np.int64)
-                    doc.append(np.full(len(w), i))
-                    key.append(mix(s[w[:, 1]] + seed))
-                    found.append(w)
-            at = pa.array(np.concatenate(doc)) if doc else pa.array([], pa.int64())
-            k = np.concatenate(key).view(np.int64) if key else np.zeros(0, np.int64)
-            l, c, r = np.concatenate(found).T if found else np.zeros((3, 0), np.int64)
+            seqs = [s if len(s) > most else s[:0] for s in sequences((v.as_py() for v in b.column(2).cast(pa.large_binary())), width)]
+            sizes, s = np.fromiter(map(len, seqs), np.int64, len(seqs)), np.concatenate(seqs)
+            found = [trees(mix(s ^ seed), run, sizes) for seed in seeds]
+            k = np.concatenate([mix(s[w[:, 1]] + seed) for w, seed in zip(found, seeds)]).view(np.int64)
+            l, c, r = np.concatenate(found).T
+            ends = np.cumsum(sizes)
+            doc = np.searchsorted(ends, c, "right")
+            at, c, l, r = pa.array(doc), *(v - (ends - sizes)[doc] for v in (c, l, r))
             reach = (np.minimum(d, most).astype(np.int16) for d in (c - l, r - c))
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(k), pa.array(c.astype(np.int32)), *map(pa.array, reach)], names=["id", "th", "key", "c", "left", "right"])
 
@@ -237,7 +248,10 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
     ranked = y[order]
     shared = np.flatnonzero(ranked[np.minimum(np.searchsorted(ranked, x), len(y) - 1)] == x)
     lows, highs = np.searchsorted(ranked, x[shared], "left"), np.searchsorted(ranked, x[shared], "right")
-    many = np.flatnonzero(highs - lows > 1).tolist()
+    many = np.flatnonzero(highs - lows > 1)
+    group = np.cumsum(np.append(False, ranked[1:] != ranked[:-1])) * (len(y) + 1)  # so group + place rises along ``order``
+    ordered = group + order
+    group, lows_many, highs_many = group[lows[many]], lows[many], highs[many]
     out: list[tuple[int, int, int, int]] = []
     seen: list[tuple[int, int, int, int]] = []
     for c, d in anchors:
@@ -245,9 +259,11 @@ def align(x: np.ndarray, y: np.ndarray, anchors: list[tuple[int, int]], width: i
             continue
         # A shingle of x counts if it occurs in y within a drift of the diagonal that grows with the distance from the anchor.
         want, place = shared - c + d, order[lows]
-        for q in many:
-            own = order[lows[q] : highs[q]]
-            place[q] = own[np.argmin(np.abs(own - want[q]))]
+        if len(many):  # of several places the one nearest to the diagonal, of two as near the first
+            to = want[many]
+            k = np.searchsorted(ordered, group + np.clip(to, 0, len(y)))
+            before, after = order[np.maximum(k - 1, lows_many)], order[np.minimum(k, highs_many - 1)]
+            place[many] = np.where(np.abs(before - to) <= np.abs(after - to), before, after)
         near = np.abs(place - want) <= width + np.abs(shared - c) // 4
         hit, at = np.zeros(len(x), bool), np.zeros(len(x), np.int64)
         hit[shared[near]], at[shared[near]] = True, place[near]
@@ -272,22 +288,24 @@ def _hot(rows: DataFrame, by: list[str], total: int) -> DataFrame | None:
 
 
 def _met(found: DataFrame, scratch: Scratch, step: int) -> DataFrame | None:
-    """(id, th, y, yth, anchors): windows of keys that two documents or more have, each against its key's hub; none if there are no such keys."""
+    """(id, th, y, yth, anchors): windows of keys that two documents or more have, each against its key's hub; none if there are no such keys.
+    Of keys and hubs there is one row a key, small in each partition: of many windows none need be sorted, as these are hashed."""
     ends = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("th").alias("a"), F.max("th").alias("b"), F.count("*").alias("n")).where("lo <> hi or a <> b").select("key", "lo", "n")
     ends = scratch.save(ends, f"keys-{step}")
     total = ends.agg(F.sum("n")).first()[0]
     if not total:
         return None
+    hashed = lambda side: side.hint("shuffle_hash") if total > FEW else side
     hot = _hot(ends, ["key"], total)
     if hot is None:
-        hits = scratch.save(found.join(ends, "key"), f"hits-{step}")
-        met = hits.join(hits.where("id = lo").groupBy("key").agg(F.min(F.struct("id", "th", "c")).alias("h")), "key")
+        hits = scratch.save(found.join(hashed(ends), "key"), f"hits-{step}")
+        met = hits.join(hashed(hits.where("id = lo").groupBy("key").agg(F.min(F.struct("id", "th", "c")).alias("h"))), "key")
     else:
         dealt = ends.join(hot, "key", "left")
-        hits = scratch.save(found.join(F.broadcast(dealt.where("hot")), "key").unionByName(found.join(dealt.where("hot is null"), "key")), f"hits-{step}")
+        hits = scratch.save(found.join(F.broadcast(dealt.where("hot")), "key").unionByName(found.join(hashed(dealt.where("hot is null")), "key")), f"hits-{step}")
         hubs = hits.where("id = lo").groupBy("key", "hot").agg(F.min(F.struct("id", "th", "c")).alias("h"))
         side = lambda on: hubs.where(on).select("key", "h")
-        met = hits.where("hot").join(F.broadcast(side("hot")), "key").unionByName(hits.where("hot is null").join(side("hot is null"), "key"))
+        met = hits.where("hot").join(F.broadcast(side("hot")), "key").unionByName(hits.where("hot is null").join(hashed(side("hot is null")), "key"))
     met = met.where("not (id = h.id and th = h.th) or n > 2 and c <> h.c")
     anchor = F.struct("c", F.col("h.c").alias("d"), "left", "right", (F.col("n") > 2).alias("more"), "key")
     pairs = scratch.save(met.groupBy("id", "th", F.col("h.id").alias("y"), F.col("h.th").alias("yth")).agg(F.collect_list(anchor).alias("anchors")), f"pairs-{step}")

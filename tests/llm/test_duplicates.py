@@ -1,6 +1,7 @@
 """Near-duplicate documents and passages, and the pipeline, against brute force."""
 
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -128,6 +129,32 @@ def test_compact_windows():
         assert set(passages.compact_windows(v, span)) == want
 
 
+def test_windows_of_texts_laid_end_to_end():
+    """op7: the trees of many texts, made at once, are those of each by itself."""
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        texts = [rng.integers(0, 30, rng.integers(0, 60)).astype(np.uint64) << np.uint64(40) for _ in range(int(rng.integers(1, 8)))]
+        sizes, span = np.array([len(v) for v in texts]), int(rng.integers(1, 12))
+        got, at = passages.trees(np.concatenate(texts), span, sizes).tolist(), np.cumsum(sizes) - sizes
+        assert sorted(got) == sorted([i + l, i + c, i + r] for i, v in zip(at.tolist(), texts) for l, c, r in passages.compact_windows(v, span))
+
+
+def test_shingles_that_the_partner_repeats():
+    """op7: of a shingle's places in the partner the nearest to the diagonal is found for all shingles at once."""
+    rng = np.random.default_rng(4)
+    p = rng.integers(0, 1 << 32, 2000, np.uint64).astype(np.uint32)
+    x, y, calls = np.concatenate([p[:1500], p[:1], p[1500:]]), np.concatenate([p, p[:7], p]), []
+    align = lambda at: passages.align(x, y, [(1001, 1001 + at)], 5, 50, 80)
+    got = [align(at) for at in (0, 2007)]
+    assert got == [[(0, 2004, at, 2003 + at)] for at in (0, 2007)]
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        align(0)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 2000  # a search for each shingle takes several calls
+
+
 def test_passages_that_repeat(spark):
     own = lambda k, n: words(n, 1000 + k)
     p, q = words(70, 5), words(55, 6)
