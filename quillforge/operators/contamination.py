@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
@@ -161,8 +162,8 @@ class Minima:
         return least.view(np.int64)
 
 
-#: Texts whose runs are hashed at a time, and what ``facts`` can tell of a text.
-SLICE, FACTS = 64, {"runs": "array<bigint>", "set_key": "binary", "may": "boolean", "sig": "array<bigint>"}
+#: Texts whose runs are hashed at a time, and their bytes beyond a first one; what ``facts`` can tell of a text.
+SLICE, SLICE_BYTES, FACTS = 64, 1 << 20, {"runs": "array<bigint>", "set_key": "binary", "may": "boolean", "sig": "array<bigint>"}
 
 
 def known_runs(benchmark: DataFrame, n: int = T.NGRAM) -> np.ndarray | None:
@@ -171,6 +172,16 @@ def known_runs(benchmark: DataFrame, n: int = T.NGRAM) -> np.ndarray | None:
     return np.sort(np.array([r.h for r in found.collect()], np.int64)) if found.count() <= BROADCAST_ROWS else None
 
 
+def parts(batch: pa.RecordBatch, column: int):
+    """A batch in pieces of ``SLICE`` rows at most, of one row or of ``SLICE_BYTES`` at most in ``column``."""
+    ends, lo = np.cumsum(pc.binary_length(batch.column(column).cast(pa.binary())).fill_null(0).to_numpy()), 0
+    while lo < batch.num_rows:
+        fit = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right"))
+        hi = min(lo + SLICE, max(fit, lo + 1))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def facts(texts: DataFrame, keys: list[str], *names: str, known: np.ndarray | None = None, n_perm: int = PERMUTATIONS, n: int = T.NGRAM, all_signed: bool = False) -> DataFrame:
     """``keys`` and facts of each text's ``text``, in one pass in Arrow batches: ``runs``, the 64-bit hash of each n-gram (of a text under n tokens that of
     its whole token run, of one without tokens none); ``set_key``, equal for equal sets of runs; ``may``, whether one is among ``known``;
@@ -187,8 +198,7 @@ def facts(texts: DataFrame, keys: list[str], *names: str, known: np.ndarray | No
             bits = np.zeros(1 << 22, bool)
             bits[some & np.uint64(len(bits) - 1)] = True
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
+            for part in parts(batch, len(keys)):
                 h, counts = engine.of(part.column(len(keys)).cast(pa.binary()).to_pylist())
                 ends = np.cumsum(counts)
                 split = [h[e - c : e] for e, c in zip(ends.tolist(), counts.tolist())]
